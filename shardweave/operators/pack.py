@@ -64,8 +64,8 @@ def shard_names(split: Column, index: Column) -> Column:
 def shard_list(totals: DataFrame, shard_size: int = SHARD_SIZE) -> DataFrame:
     """One row per shard file, from ``(split, tokens)`` totals."""
     count = shard_count(F.col("tokens"), shard_size)
-    return (totals.select("split", F.explode(F.sequence(F.lit(0).cast("long"), count - 1))
-                          .cast("int").alias("shard_idx"))
+    indexes = F.sequence(F.lit(0), (count - 1).cast("int"))
+    return (totals.select("split", F.explode(indexes).alias("shard_idx"))
             .withColumn("file", shard_names(F.col("split"), F.col("shard_idx"))))
 
 

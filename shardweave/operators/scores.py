@@ -9,23 +9,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shardweave.functions.arrays import bind, total
 from shardweave.functions.text import unit_hash
 
 
-def _doubles(scores: Column) -> Column:
-    return scores.cast("array<double>")
-
-
-def _sum(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda total, v: total + v)
-
-
 def cross_entropy(scores: Column, target: Column) -> Column:
     """logsumexp(scores) - scores[target] of one row; targets count from 0."""
-    values = _doubles(scores)
-    top = F.array_max(values)
-    total = _sum(F.transform(values, lambda v: F.exp(v - top)))
-    return top + F.ln(total) - F.element_at(values, target + 1)
+    values = scores.cast("array<double>")
+    spread = bind(F.array_max(values), lambda top: top + F.ln(
+        total(F.transform(values, lambda v: F.exp(v - top)))))
+    return spread - F.element_at(values, target + 1)
 
 
 def mean_loss(losses: DataFrame, groups: list[str]) -> DataFrame:
@@ -43,23 +36,26 @@ def top_k_probabilities(df: DataFrame, key: str, scores: str, temperature: float
 
     Scores equal to the k-th best all stay, so more than k tokens can survive.
     """
-    scaled = F.transform(_doubles(F.col(scores)), lambda v: v / F.lit(max(temperature, 1e-6)))
-    df = df.select(key, scaled.alias("s"))
-    numbered = F.transform("s", lambda v, i: F.struct(i.alias("token"), v.alias("score")))
-    if top_k is None:
-        kept = numbered
-    else:
-        rank = F.least(F.lit(top_k), F.size("s"))
-        cutoff = F.element_at(F.sort_array("s", asc=False), rank)
-        df = df.withColumn("cutoff", cutoff)
-        kept = F.filter(numbered, lambda p: p["score"] >= F.col("cutoff"))
-    df = df.withColumn("kept", kept).withColumn("top", F.array_max("s"))
-    weights = F.transform("kept", lambda p: F.struct(
-        p["token"].alias("token"), F.exp(p["score"] - F.col("top")).alias("w")))
-    df = df.withColumn("weights", weights).withColumn(
-        "total", _sum(F.transform("weights", lambda p: p["w"])))
-    return df.select(key, F.transform("weights", lambda p: F.struct(
-        p["token"].alias("token"), (p["w"] / F.col("total")).alias("prob"))).alias("choices"))
+    scaled = F.transform(F.col(scores).cast("array<double>"),
+                         lambda v: v / F.lit(max(temperature, 1e-6)))
+
+    def survivors(values: Column) -> Column:
+        numbered = F.transform(values, lambda v, i: F.struct(
+            i.alias("token"), v.alias("score")))
+        if top_k is None:
+            return numbered
+        rank = F.least(F.lit(top_k), F.size(values))
+        return bind(F.element_at(F.sort_array(values, asc=False), rank),
+                    lambda cutoff: F.filter(numbered, lambda p: p["score"] >= cutoff))
+
+    def softmax(kept: Column) -> Column:
+        weights = bind(F.array_max(F.transform(kept, lambda p: p["score"])),
+                       lambda top: F.transform(kept, lambda p: F.exp(p["score"] - top)))
+        return bind(weights, lambda ws: bind(total(ws), lambda whole: F.zip_with(
+            kept, ws, lambda p, w: F.struct(
+                p["token"].alias("token"), (w / whole).alias("prob")))))
+
+    return df.select(key, bind(bind(scaled, survivors), softmax).alias("choices"))
 
 
 def sample_choice(probabilities: DataFrame, key: str, seed: int) -> DataFrame:

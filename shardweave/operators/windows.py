@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shardweave.functions.arrays import bind
 from shardweave.functions.text import unit_hash
 from shardweave.operators.order import running_total
 from shardweave.operators.pack import BLOCK_TOKENS
@@ -89,9 +90,9 @@ def distinct_starts(valid: Column, batch: int, key: Column) -> Column:
     empty = F.array().cast("array<bigint>")
     return F.aggregate(
         F.sequence(F.lit(0), F.lit(batch - 1)), empty,
-        lambda taken, i: F.array_append(
-            taken, F.when(F.array_contains(taken, draw(i)), valid - batch + i)
-            .otherwise(draw(i)).cast("long")))
+        lambda taken, i: bind(draw(i), lambda d: F.array_append(
+            taken, F.when(F.array_contains(taken, d), valid - batch + i)
+            .otherwise(d).cast("long"))))
 
 
 def repeated_starts(valid: Column, batch: int, key: Column) -> Column:

@@ -1,6 +1,7 @@
 """All registered queries."""
 
-from shardweave.plans import document_queries  # noqa: F401
+from shardweave.plans import (  # noqa: F401
+    document_queries, packing_queries, score_queries)
 from shardweave.plans.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
