@@ -8,11 +8,14 @@ pass) and running sums inside a bucket (one shuffle) agree even if tasks rerun.
 
 from __future__ import annotations
 
+import json
 from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shardweave.functions.arrays import bind
+
 SAMPLE_PER_BUCKET = 32
 MAX_BUCKETS = 4096
 _BUCKET, _TOTAL, _BEFORE = "_bucket", "_bucket_total", "_bucket_before"
@@ -69,16 +72,19 @@ def _bucket(df: DataFrame, keys: list[str], cuts: list) -> Column:
     """Number of cut points at or below the key, found in two levels."""
     if not cuts:
         return F.lit(0)
-    types = {f.name: f.dataType for f in df.schema.fields}
+    # One JSON literal, folded to a constant by the optimizer: thousands of cut
+    # points cost one parse, not thousands of expressions.
+    point = "struct<" + ",".join(f"`{k}`:{dict(df.dtypes)[k]}" for k in keys) + ">"
     key = F.struct(*[F.col(k).alias(k) for k in keys])
-    points = [
-        F.struct(*[F.lit(row[k]).cast(types[k]).alias(k) for k in keys]) for row in cuts]
+    points = [{k: row[k] for k in keys} for row in cuts]
     width = max(1, isqrt(len(points)))
     blocks = [points[i:i + width] for i in range(0, len(points), width)]
+    heads = F.from_json(F.lit(json.dumps([b[0] for b in blocks])), f"array<{point}>")
+    tables = F.from_json(F.lit(json.dumps(blocks)), f"array<array<{point}>>")
 
     def at_or_below(values: Column) -> Column:
         return F.size(F.filter(values, lambda p: p <= key))
 
-    block = at_or_below(F.array(*[b[0] for b in blocks]))
-    inner = F.element_at(F.array(*[F.array(*b) for b in blocks]), block)
-    return F.when(block == 0, 0).otherwise((block - 1) * width + at_or_below(inner))
+    found = bind(at_or_below(heads), lambda block: F.when(block == 0, 0).otherwise(
+        (block - 1) * width + at_or_below(F.element_at(tables, block))))
+    return F.coalesce(found, F.lit(0))
