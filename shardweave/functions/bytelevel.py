@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,18 +35,17 @@ def words(text: Column, prefix_space: bool = True) -> Column:
     return F.when(text == "", F.array().cast("array<string>")).otherwise(found)
 
 
-def words_with_specials(text: Column, prefix_space: bool = True) -> Column:
+def words_with_specials(text: Column, specials: list[str], prefix_space: bool = True) -> Column:
     """Like ``words``, but literal special tokens in the text are kept whole.
 
     The stretches between them count as texts of their own.
     """
-    literal = "|".join(r"\[" + s[1:-1] + r"\]" for s in SPECIALS)
+    literal = "|".join(re.sub(r"(\W)", r"\\\1", s) for s in specials)
     parts = F.regexp_extract_all(
         text, F.lit(rf"(?s)(?:{literal})|.+?(?=(?:{literal})|\z)"), F.lit(0))
     split = F.flatten(F.transform(parts, lambda p: F.when(
-        p.isin(SPECIALS), F.array(p)).otherwise(words(p, prefix_space))))
-    plain = ~text.rlike(literal)
-    return F.when(plain, words(text, prefix_space)).otherwise(split)
+        p.isin(specials), F.array(p)).otherwise(words(p, prefix_space))))
+    return F.when(text.rlike(literal), split).otherwise(words(text, prefix_space))
 
 
 def to_byte_chars(word: Column) -> Column:

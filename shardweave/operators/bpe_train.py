@@ -22,10 +22,10 @@ from __future__ import annotations
 
 import heapq
 from collections import Counter, defaultdict
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,13 +49,24 @@ class Vocabulary:
 
     tokens: list[str]
     merges: list[Pair]
+    specials: list[str] = field(default_factory=lambda: list(SPECIALS))
+    prefix_space: bool = True
 
-    def vocab_frame(self, spark) -> DataFrame:
-        rows = [(i, t, "special" if i < len(SPECIALS) else
-                 "byte" if len(t) == 1 else "merged") for i, t in enumerate(self.tokens)]
+    def id_of(self, token: str) -> int:
+        if token not in self.tokens:
+            raise ValueError(f"token {token!r} is not defined")
+        return self.tokens.index(token)
+
+    def vocab_frame(self, spark: SparkSession) -> DataFrame:
+        def kind(token: str) -> str:
+            if token in self.specials:
+                return "special"
+            return "byte" if len(token) == 1 else "merged"
+
+        rows = [(i, t, kind(t)) for i, t in enumerate(self.tokens)]
         return spark.createDataFrame(rows, "id int, token string, kind string")
 
-    def merges_frame(self, spark) -> DataFrame:
+    def merges_frame(self, spark: SparkSession) -> DataFrame:
         rows = [(i, a, b, a + b) for i, (a, b) in enumerate(self.merges)]
         return spark.createDataFrame(rows, "rank int, left string, right string, merged string")
 
@@ -134,6 +145,8 @@ def apply_merges(word: Column, merges: list[Pair]) -> Column:
 
 def merge_symbols(syms: list[str], ranks: dict[Pair, int]) -> list[str]:
     """Merge the best-ranked neighbouring pair until no neighbours are ranked."""
+    if len(syms) > 200:
+        return _merge_long(syms, ranks)
     while len(syms) > 1:
         best = min(zip(syms, syms[1:]), key=lambda p: ranks.get(p, len(ranks)))
         if best not in ranks:
@@ -142,6 +155,29 @@ def merge_symbols(syms: list[str], ranks: dict[Pair, int]) -> list[str]:
     return syms
 
 
+def _merge_long(syms: list[str], ranks: dict[Pair, int]) -> list[str]:
+    """Same result in O(n log n), for the rare word that is a page long."""
+    syms = list(syms)
+    after = list(range(1, len(syms) + 1))
+    before = list(range(-1, len(syms) - 1))
+    queue = [(ranks[p], i, p) for i, p in enumerate(zip(syms, syms[1:])) if p in ranks]
+    heapq.heapify(queue)
+    while queue:
+        _, i, pair = heapq.heappop(queue)
+        j = after[i] if syms[i] else len(syms)
+        if j >= len(syms) or (syms[i], syms[j]) != pair:
+            continue
+        syms[i], syms[j] = syms[i] + syms[j], ""
+        after[i] = after[j]
+        if after[i] < len(syms):
+            before[after[i]] = i
+        for a, b in ((before[i], i), (i, after[i])):
+            if a >= 0 and b < len(syms) and (syms[a], syms[b]) in ranks:
+                new = syms[a], syms[b]
+                heapq.heappush(queue, (ranks[new], a, new))
+    return [s for s in syms if s]
+
+
 def hot_pieces(state: DataFrame, hot: list[Pair]) -> DataFrame:
     """``(piece, n)``: stretches of words in which every neighbouring pair is hot."""
     wanted = frozenset(hot)
