@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -153,3 +153,23 @@ def decode(ids: Column, vocab: Vocabulary) -> Column:
     hidden = set(vocab.specials)
     tokens = F.split(F.lit("\x01".join("" if t in hidden else t for t in vocab.tokens)), "\x01")
     return from_byte_chars(F.array_join(F.transform(ids, lambda i: F.get(tokens, i)), ""))
+
+
+def listing(vocab: Vocabulary, spark: SparkSession, limit: int | None = None,
+            merges: int = 50) -> DataFrame:
+    """``(section, pos, entry)``: tokens by id, the first merges, and totals.
+
+    No ``limit``, or zero, lists every token.
+    """
+    tokens, pairs = vocab.vocab_frame(spark), vocab.merges_frame(spark)
+    shown = tokens.filter(F.col("id") < limit) if limit else tokens
+    return (
+        shown.select(F.lit("token").alias("section"), F.col("id").alias("pos"),
+                     F.col("token").alias("entry"))
+        .unionByName(pairs.filter(F.col("rank") < merges).select(
+            F.lit("merge").alias("section"), F.col("rank").alias("pos"),
+            F.concat_ws(" ", "left", "right").alias("entry")))
+        .unionByName(tokens.agg(F.count("*").cast("int").alias("pos")).select(
+            F.lit("total tokens").alias("section"), "pos", F.lit(None).cast("string").alias("entry")))
+        .unionByName(pairs.agg(F.count("*").cast("int").alias("pos")).select(
+            F.lit("total merges").alias("section"), "pos", F.lit(None).cast("string").alias("entry"))))
