@@ -33,7 +33,7 @@ from shardweave.functions.bytelevel import SPECIALS, to_byte_chars, words
 from shardweave.staging import drop_stage, stage
 
 VOCAB_SIZE = 8000
-HOT_PAIRS = 512
+HOT_PAIRS = 64
 MAX_HOT_PAIRS = 4096
 MAX_PIECES = 50_000
 MAX_PIECE_CHARS = 8_000_000
@@ -102,16 +102,25 @@ def pair_counts(state: DataFrame) -> DataFrame:
 def learn(counts: DataFrame, vocab_size: int = VOCAB_SIZE,
           hot_pairs: int = HOT_PAIRS) -> Vocabulary:
     """Learn ``vocab_size`` tokens from ``(word, n)`` counts; see the module text."""
-    state = stage(counts.select(spelled(F.col("word")).alias("word"), "n"), "bpe-words")
+    # Words are short but costly: a fixed count keeps adaptive execution from folding
+    # them into a few tasks.
+    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    state = stage(counts.select(spelled(F.col("word")).alias("word"), "n")
+                  .repartition(parts, "word"), "bpe-words")
     letters = state.select(F.explode(F.array_distinct(F.split("word", _SEP))).alias("ch"))
     seen = sorted(r.ch for r in letters.distinct().collect())
     tokens = SPECIALS + seen
     ids = {t: i for i, t in enumerate(tokens)}
     merges: list[Pair] = []
     while len(ids) < vocab_size:
-        found = _round(state, ids, vocab_size, hot_pairs)
+        found, pieces = _round(state, ids, vocab_size, hot_pairs)
         if not found:
             break
+        # Few pieces leave room for more hot pairs next time, many ask for fewer.
+        if pieces * 4 < MAX_PIECES:
+            hot_pairs = min(hot_pairs * 4, MAX_HOT_PAIRS)
+        elif pieces > MAX_PIECES:
+            hot_pairs = max(hot_pairs // 2, 1)
         merges += found
         if len(ids) >= vocab_size:
             break
@@ -196,8 +205,12 @@ def hot_pieces(state: DataFrame, hot: list[Pair]) -> DataFrame:
             .groupBy("piece").agg(F.sum("n").alias("n")))
 
 
-def _round(state: DataFrame, ids: dict[str, int], vocab_size: int, hot_pairs: int) -> list[Pair]:
-    """The next merges in exact order, at least one unless no pair is left."""
+def _round(state: DataFrame, ids: dict[str, int], vocab_size: int,
+           hot_pairs: int) -> tuple[list[Pair], int]:
+    """The next merges in exact order, at least one unless no pair is left.
+
+    Also returns the number of pieces the first try led to.
+    """
     pairs = stage(pair_counts(state), "bpe-pairs")
     try:
         wanted = hot_pairs
@@ -205,27 +218,29 @@ def _round(state: DataFrame, ids: dict[str, int], vocab_size: int, hot_pairs: in
             top = [((r.left, r.right), r.n) for r in
                    pairs.orderBy(F.desc("n"), "left", "right").limit(wanted + 1).collect()]
             if not top:
-                return []
+                return [], 0
             floor = top[-1][1] if len(top) > wanted else 0
             hot = [p for p, n in top if n > floor]
             if hot or wanted >= MAX_HOT_PAIRS:
                 break
             wanted *= 2  # one big tie: look further for its end
+        first_rows = 0
         while len(hot) > 1:
             pieces = stage(hot_pieces(state, hot), "bpe-pieces")
             rows, chars = pieces.agg(
                 F.count("*"), F.coalesce(F.sum(F.length("piece")), F.lit(0))).first()
+            first_rows = first_rows or rows
             if rows <= MAX_PIECES and chars <= MAX_PIECE_CHARS:
                 found = [(r.piece.split(_SEP), r.n) for r in pieces.collect()]
                 drop_stage(pieces)
-                return _replay(found, ids, floor, vocab_size)
+                return _replay(found, ids, floor, vocab_size), first_rows
             drop_stage(pieces)
             keep = len(hot) // 4
             floor = top[keep][1]
             hot = [p for p, n in top if n > floor]
         best = _single_best(pairs, top[0][1], ids)
         ids.setdefault("".join(best), len(ids))
-        return [best]
+        return [best], first_rows
     finally:
         drop_stage(pairs)
 
