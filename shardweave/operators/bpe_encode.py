@@ -31,7 +31,7 @@ def check_width(vocab_size: int) -> int:
     return vocab_size
 
 
-def _lookup(vocab: Vocabulary):
+def word_lookup(vocab: Vocabulary):
     """Arrow function from word lists to id lists."""
     check_width(len(vocab.tokens))  # bounds what is shipped to the tasks
     ids = {t: i for i, t in enumerate(vocab.tokens)}
@@ -133,7 +133,7 @@ def encode(text: Column, vocab: Vocabulary, add_specials: bool = False,
         cut = words_with_specials(text, vocab.specials, vocab.prefix_space)
     else:
         cut = words(text, vocab.prefix_space)
-    ids = F.arrow_udf(_lookup(vocab), T.ArrayType(T.IntegerType()))(cut)
+    ids = F.arrow_udf(word_lookup(vocab), T.ArrayType(T.IntegerType()))(cut)
     if add_specials:
         ids = F.concat(F.array(F.lit(vocab.id_of(BOS))), ids, F.array(F.lit(vocab.id_of(EOS))))
     return ids
@@ -141,7 +141,7 @@ def encode(text: Column, vocab: Vocabulary, add_specials: bool = False,
 
 def word_ids(counts: DataFrame, vocab: Vocabulary) -> DataFrame:
     """``(word, ids)`` of a table of distinct words."""
-    lookup = F.arrow_udf(_lookup(vocab), T.ArrayType(T.IntegerType()))
+    lookup = F.arrow_udf(word_lookup(vocab), T.ArrayType(T.IntegerType()))
     return counts.select("word", lookup(F.array("word")).alias("ids"))
 
 
@@ -155,6 +155,22 @@ def decode(ids: Column, vocab: Vocabulary) -> Column:
     return from_byte_chars(F.array_join(F.transform(ids, lambda i: F.get(tokens, i)), ""))
 
 
+def text_decoder(vocab: Vocabulary):
+    """``decode`` as a function that SQL can register."""
+    hidden = set(vocab.specials)
+    to_byte = {c: b for b, c in BYTE_TO_CHAR.items()}
+    spelled = [b"" if t in hidden else bytes(to_byte[c] for c in t) for t in vocab.tokens]
+
+    @F.arrow_udf(T.StringType())
+    def spell(lists: pa.Array) -> pa.Array:
+        return pa.array([
+            None if ids is None else
+            b"".join(spelled[i] for i in ids if 0 <= i < len(spelled)).decode(errors="replace")
+            for ids in lists.to_pylist()], pa.string())
+
+    return spell
+
+
 def listing(vocab: Vocabulary, spark: SparkSession, limit: int | None = None,
             merges: int = 50) -> DataFrame:
     """``(section, pos, entry)``: tokens by id, the first merges, and totals.

@@ -30,7 +30,17 @@ def characters(vocab: DataFrame) -> list[str]:
 
 
 def encode(text: Column, chars: list[str]) -> Column:
-    """Ids of the characters of ``text``. Unknown characters are an error.
+    """Ids of the characters of ``text``; unknown characters are an error."""
+    return encoder(chars)(text)
+
+
+def decode(ids: Column, chars: list[str]) -> Column:
+    """Text spelled by ``ids``; an id outside the vocabulary is an error."""
+    return decoder(chars)(ids)
+
+
+def encoder(chars: list[str]):
+    """Function behind ``encode``.
 
     Whole Arrow batches are looked up at once: one code-point buffer per batch, one
     binary search, no per-character objects.
@@ -52,11 +62,11 @@ def encode(text: Column, chars: list[str]) -> Column:
             pa.array(ends), pa.array(ids.astype(np.int32)),
             mask=pa.array([v is None for v in values]))
 
-    return lookup(text)
+    return lookup
 
 
-def decode(ids: Column, chars: list[str]) -> Column:
-    """Text spelled by ``ids``; an id outside the vocabulary is an error."""
+def decoder(chars: list[str]):
+    """Function behind ``decode``."""
     codes = np.array([ord(c) for c in chars], dtype=np.uint32)
 
     @F.arrow_udf(T.StringType())
@@ -71,4 +81,4 @@ def decode(ids: Column, chars: list[str]) -> Column:
         return pa.array([text[e - n:e] if ok else None
                          for n, e, ok in zip(lengths, ends, valid)], pa.string())
 
-    return spell(ids)
+    return spell
