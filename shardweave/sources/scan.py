@@ -19,6 +19,8 @@ def scan_source(spark: SparkSession, entry: dict, src_pos: int,
     """One configured source, tagged. ``format`` and ``options`` are optional."""
     reader = spark.read.format(entry.get("format", "parquet"))
     df = reader.options(**entry.get("options", {})).load(entry["path"])
+    if "id" in df.columns:  # ids may be of any type, and differ between sources
+        df = df.withColumn("id", F.col("id").cast("string"))
     tags = [F.lit(entry_key(entry)).alias("source_id"), F.lit(src_pos).alias("src_pos")]
     if file_order:
         tags += [F.col("_metadata.file_path").alias("file"),
