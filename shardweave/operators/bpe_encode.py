@@ -52,31 +52,34 @@ def word_lookup(vocab: Vocabulary):
     for rank, pair in enumerate(vocab.merges):
         text_ranks.setdefault(pair, rank)
 
-    def rank_neighbours(syms: np.ndarray, own: np.ndarray) -> np.ndarray:
-        found = np.full(len(syms), never)
-        if len(pair_codes) and len(syms) > 1:
-            code = syms[:-1] * width + syms[1:]
-            at = np.minimum(np.searchsorted(pair_codes, code), len(pair_codes) - 1)
-            hit = (pair_codes[at] == code) & (own[:-1] == own[1:])
-            found[:-1][hit] = pair_ranks[at[hit]]
-        return found
-
-    def merge_round(syms: np.ndarray, own: np.ndarray):
+    def rank_at(at: np.ndarray, syms: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """Rank of the pair starting at each place of ``at``."""
+        after = np.minimum(at + 1, len(syms) - 1)
+        code = syms[at] * width + syms[after]
+        spot = np.minimum(np.searchsorted(pair_codes, code), len(pair_codes) - 1)
+        hit = (pair_codes[spot] == code) & (own[at] == own[after]) & (after > at)
+        return np.where(hit, pair_ranks[spot], never)
+
+    def merge_round(syms: np.ndarray, own: np.ndarray, rank: np.ndarray):
         """Merge the best pair of every word; also say which words had one."""
-        rank = rank_neighbours(syms, own)
         heads = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
         best = np.repeat(np.minimum.reduceat(rank, heads),
                          np.diff(np.append(heads, len(syms))))
-        chosen = np.flatnonzero((rank == best) & (rank < never))
+        active = best < never
+        chosen = np.flatnonzero((rank == best) & active)
         # In a run like "aaa" neighbouring choices overlap: take every second one.
+        place = np.arange(len(chosen))
         fresh = np.concatenate([[True], np.diff(chosen) != 1])[:len(chosen)]
-        run = np.arange(len(chosen)) - np.maximum.accumulate(
-            np.where(fresh, np.arange(len(chosen)), 0)) if len(chosen) else chosen
-        chosen = chosen[run % 2 == 0]
+        chosen = chosen[(place - np.maximum.accumulate(np.where(fresh, place, 0))) % 2 == 0]
         syms[chosen] = result[rank[chosen]]
         keep = np.ones(len(syms), bool)
         keep[chosen + 1] = False
-        return syms[keep], own[keep], (best < never)[keep]
+        syms, own, rank, active = syms[keep], own[keep], rank[keep], active[keep]
+        # Only pairs on either side of a merged place are new.
+        moved = chosen - np.arange(len(chosen))
+        stale = np.concatenate([moved, moved[moved > 0] - 1])
+        rank[stale] = rank_at(stale, syms, own)
+        return syms, own, rank, active
 
     def encode_words(distinct: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in a row, and how many each word has."""
@@ -91,10 +94,14 @@ def word_lookup(vocab: Vocabulary):
                 raw[i] = b""
         syms = of_byte[np.frombuffer(b"".join(raw), np.uint8)]
         own = np.repeat(np.arange(len(raw)), [len(r) for r in raw])
+        if not len(pair_codes):
+            done.append((syms, own))
+            syms = syms[:0]
+        rank = rank_at(np.arange(len(syms)), syms, own) if len(syms) else syms
         while len(syms):
-            syms, own, active = merge_round(syms, own)
+            syms, own, rank, active = merge_round(syms, own, rank)
             done.append((syms[~active], own[~active]))
-            syms, own = syms[active], own[active]
+            syms, own, rank = syms[active], own[active], rank[active]
         pool = np.concatenate([d[0] for d in done] or [np.zeros(0, np.int64)])
         owner = np.concatenate([d[1] for d in done] or [np.zeros(0, np.int64)])
         order = np.argsort(owner, kind="stable")

@@ -156,12 +156,13 @@ def merge_symbols(syms: list[str], ranks: dict[Pair, int]) -> list[str]:
     """Merge the best-ranked neighbouring pair until no neighbours are ranked."""
     if len(syms) > 200:
         return _merge_long(syms, ranks)
-    while len(syms) > 1:
-        best = min(zip(syms, syms[1:]), key=lambda p: ranks.get(p, len(ranks)))
-        if best not in ranks:
-            break
-        syms = _merge_once(syms, best)
-    return syms
+    syms = list(syms)
+    while True:
+        ranked = [(ranks[p], i) for i, p in enumerate(zip(syms, syms[1:])) if p in ranks]
+        if not ranked:
+            return syms
+        at = min(ranked)[1]
+        syms[at:at + 2] = [syms[at] + syms[at + 1]]
 
 
 def _merge_long(syms: list[str], ranks: dict[Pair, int]) -> list[str]:

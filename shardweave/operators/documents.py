@@ -51,9 +51,13 @@ def extract(df: DataFrame) -> DataFrame:
 
 def route(df: DataFrame, ratio: float, row_id: str | None = None,
           digest: str = "sha256") -> DataFrame:
-    """Add ``doc_key`` and ``split`` by keyed hash."""
+    """Add ``doc_key`` and ``split`` by keyed hash.
+
+    Rows that all have an id need no ``doc_idx`` column.
+    """
     own = F.col(row_id) if row_id else F.lit(None)
-    return (df.withColumn("doc_key", doc_key(F.col("source_id"), own, F.col("doc_idx")))
+    position = F.col("doc_idx") if "doc_idx" in df.columns else F.lit(None)
+    return (df.withColumn("doc_key", doc_key(F.col("source_id"), own, position))
             .withColumn("split", split_name(F.col("doc_key"), ratio, digest)))
 
 

@@ -12,6 +12,7 @@ from shardweave.operators import char_vocab
 from shardweave.operators.documents import extract, index_documents, route
 from shardweave.plans.registry import table
 from shardweave.sources.config import config_frame, config_from_column
+from shardweave.sources.scan import spread
 from shardweave.staging import stage
 
 VAL_RATIO = 0.1
@@ -66,6 +67,11 @@ def unit_sql(key: str) -> str:
     return f"(('0x' || substr(sha256({key}), 1, 13))::BIGINT / pow(2, 52))"
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, text)``, spread for per-character and per-word work."""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def indexed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = table(spark, sf_dir, "documents")
     config = config_frame(spark, config_from_column(raw, "source"))
@@ -80,7 +86,7 @@ def routed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def char_list(spark: SparkSession, sf_dir: str) -> list[str]:
-    return char_vocab.characters(char_vocab.learn(table(spark, sf_dir, "documents")))
+    return char_vocab.characters(char_vocab.learn(texts(spark, sf_dir)))
 
 
 def char_encoded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shardweave.operators import char_vocab, pack, stats, windows
-from shardweave.operators.documents import route_prefix
+from shardweave.operators.documents import extract, route, route_prefix
 from shardweave.operators.order import running_total
 from shardweave.plans.corpus import (
     SHARD_SIZE, SQL_CHARS, SQL_ENCODED, SQL_OFFSETS, SQL_ROUTED, VAL_RATIO, char_encoded,
-    char_list, routed_documents, unit_sql)
+    char_list, routed_documents, texts, unit_sql)
 from shardweave.plans.registry import query, table
 from shardweave.sources.config import config_frame, config_from_column
 from shardweave.staging import stage
@@ -26,19 +26,19 @@ def text_of(ids):
 
 @query(f"WITH {SQL_CHARS} SELECT ch, id FROM chars")
 def char_vocabulary(spark, sf_dir):
-    return char_vocab.learn(table(spark, sf_dir, "documents"))
+    return char_vocab.learn(texts(spark, sf_dir))
 
 
 @query(f"WITH {SQL_CHARS} SELECT count(*) AS vocab_size FROM chars")
 def vocab_size(spark, sf_dir):
-    return char_vocab.learn(table(spark, sf_dir, "documents")).agg(
+    return char_vocab.learn(texts(spark, sf_dir)).agg(
         F.count("*").alias("vocab_size"))
 
 
 @query(f"WITH {SQL_ENCODED} SELECT doc_id, n_tokens, array_to_string(ids, ' ') AS ids FROM encoded")
 def char_encode(spark, sf_dir):
     chars = char_list(spark, sf_dir)
-    docs = table(spark, sf_dir, "documents").select(
+    docs = texts(spark, sf_dir).select(
         "doc_id", char_vocab.encode(F.col("text"), chars).alias("ids"))
     return docs.select("doc_id", F.size("ids").alias("n_tokens"), text_of("ids"))
 
@@ -46,7 +46,7 @@ def char_encode(spark, sf_dir):
 @query("SELECT doc_id, text FROM documents")
 def char_decode(spark, sf_dir):
     chars = char_list(spark, sf_dir)
-    docs = table(spark, sf_dir, "documents").select(
+    docs = texts(spark, sf_dir).select(
         "doc_id", char_vocab.encode(F.col("text"), chars).alias("ids"))
     return docs.select("doc_id", char_vocab.decode(F.col("ids"), chars).alias("text"))
 
@@ -75,9 +75,10 @@ stats AS (
 
 
 def _counted(spark, sf_dir):
-    """Character token counts need no ids at all."""
-    return routed_documents(spark, sf_dir).select(
-        "split", "source_id", "doc_idx", "src_pos", F.length("text").alias("n_tokens"))
+    """Character token counts need neither ids nor positions, so no shuffle here."""
+    docs = table(spark, sf_dir, "documents").withColumnRenamed("source", "source_id")
+    return route(extract(docs), VAL_RATIO, "doc_id").select(
+        "split", "source_id", F.length("text").alias("n_tokens"))
 
 
 @query(f"WITH {_SQL_STATS} SELECT * FROM stats")

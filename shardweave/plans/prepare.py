@@ -33,7 +33,8 @@ def merged_documents(spark: SparkSession, entries: list[dict]) -> DataFrame:
 
     Rows are numbered in file order, which needs no shuffle of documents.
     """
-    rows = scan.index_by_file(scan.scan_sources(spark, entries, file_order=True))
+    rows = scan.index_by_file(
+        scan.spread(scan.scan_sources(spark, entries, file_order=True)))
     kept = documents.within_quota(rows, entries, [entry_key(e) for e in entries])
     texts = documents.extract(kept)
     own_id = F.col("id") if "id" in texts.columns else F.lit(None).cast("string")

@@ -8,7 +8,7 @@ from shardweave.functions import bytelevel
 from shardweave.operators import bpe_encode as codec
 from shardweave.operators import bpe_train, pack, stats
 from shardweave.plans.corpus import (
-    SHARD_SIZE, SQL_ROUTED, routed_documents)
+    SHARD_SIZE, SQL_ROUTED, routed_documents, texts)
 from shardweave.plans.packing_queries import text_of
 from shardweave.plans.registry import query, table
 from shardweave.plans.vocab_sql import (
@@ -24,8 +24,7 @@ _SQL_LEARNT = f"{SQL_WORDS}, {learnt_sql(TOKENS)}"
 _SQL_CODED = f"{_SQL_LEARNT}, {SQL_ENCODED_WORDS}, {SQL_ENCODED_DOCS}"
 
 
-def _docs(spark, sf_dir):
-    return table(spark, sf_dir, "documents")
+_docs = texts
 
 
 def _counts(spark, sf_dir):
@@ -149,7 +148,7 @@ FROM (SELECT split, source_id FROM sources CROSS JOIN (VALUES ('train'), ('val')
 LEFT JOIN tokens_of USING (split, source_id)""")
 def bpe_manifest_sources(spark, sf_dir):
     encoded, _ = bpe_encoded(spark, sf_dir)
-    config = config_frame(spark, config_from_column(_docs(spark, sf_dir), "source"))
+    config = config_frame(spark, config_from_column(table(spark, sf_dir, "documents"), "source"))
     found = stats.complete_stats(config.drop("split"), stats.source_stats(encoded))
     return found.select("split", "source_id", "texts", "tokens")
 

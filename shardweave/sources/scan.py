@@ -41,6 +41,17 @@ def concat(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Give a small scan at least one partition per core before costly per-row work.
+
+    A Parquet row group is read by one task, so a small table can leave most cores
+    idle. Scans with enough splits are returned as they are: no shuffle at scale.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    # Planning a bare scan runs no job.
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def index_by_file(df: DataFrame, out: str = "doc_idx") -> DataFrame:
     """0-based row index per source in file order, without shuffling documents.
 
