@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shardweave.functions.split import split_name
 from shardweave.functions.text import doc_key, usable_text
 from shardweave.operators.order import running_total
+from shardweave.sources.config import config_frame
 
 MERGE_ORDER = ["doc_idx", "src_pos"]
 
@@ -17,17 +18,15 @@ def index_documents(df: DataFrame, key: str) -> DataFrame:
     return running_total(df, [key], within=["source_id"], out="doc_idx")
 
 
-def within_quota(df: DataFrame, entries: list[dict], keys: list[str]) -> DataFrame:
+def within_quota(df: DataFrame, entries: list[dict]) -> DataFrame:
     """Keep the first ``max_docs`` rows of each source; null keeps all.
 
-    Quotas are literals in one predicate, so no join is needed.
+    The config has a checked size, so it is broadcast; documents do not move.
     """
-    keep: Column = F.lit(True)
-    for key, entry in zip(keys, entries):
-        if entry.get("max_docs") is not None:
-            keep = keep & ((F.col("source_id") != key)
-                           | (F.col("doc_idx") < int(entry["max_docs"])))
-    return df.filter(keep)
+    quotas = config_frame(df.sparkSession, entries).select("source_id", "max_docs")
+    return (df.join(F.broadcast(quotas), "source_id")
+            .filter(F.col("max_docs").isNull() | (F.col("doc_idx") < F.col("max_docs")))
+            .drop("max_docs"))
 
 
 def merge_position(df: DataFrame, out: str = "rr_pos") -> DataFrame:

@@ -108,7 +108,7 @@ def batch_plan(windows: DataFrame, batches: int, batch: int, seed: int,
 
     A shard is drawn by its share of windows and serves ``per_shard`` batches in a
     row. Starts are drawn without replacement unless the shard has fewer than
-    ``batch`` of them.
+    ``batch`` of them. ``windows`` is read several times: pass a staged table.
     """
     _positive("batch", batch), _positive("per_shard", per_shard)
     spark = windows.sparkSession
@@ -170,18 +170,21 @@ def batch_windows(plan: DataFrame, pieces: DataFrame, block: int,
 
 
 def uniform_batch(docs: DataFrame, key: str, block: int, batch: int, seed: int) -> DataFrame:
-    """One batch drawn with replacement from the long enough documents."""
-    indexed = running_total(long_enough(docs, block), [key], out="doc_no")
-    total = indexed.agg(F.count("*")).first()[0]
+    """One batch drawn with replacement from the long enough documents.
+
+    Only keys are numbered; the ``batch`` drawn keys then fetch their documents.
+    """
+    keys = running_total(long_enough(docs, block).select(key), [key], out="doc_no")
+    total = keys.agg(F.count("*")).first()[0]
     if total == 0:
         raise ValueError("no document is long enough for one window")
     slot = F.col("slot").cast("string")
     pick = unit_hash(F.concat_ws(":", F.lit(f"{seed}:doc"), slot))
-    at = unit_hash(F.concat_ws(":", F.lit(f"{seed}:start"), slot))
     draws = (docs.sparkSession.range(_positive("batch", batch)).withColumnRenamed("id", "slot")
              .withColumn("doc_no", F.floor(pick * F.lit(total)).cast("long"))
-             .withColumn("u", at))
-    drawn = (draws.join(indexed, "doc_no")
-             .withColumn("start", F.floor(F.col("u") * (F.size("ids") - block)).cast("int"))
+             .join(keys, "doc_no").select("slot", key))
+    at = unit_hash(F.concat_ws(":", F.lit(f"{seed}:start"), slot))
+    drawn = (docs.join(F.broadcast(draws), key)  # exactly ``batch`` rows
+             .withColumn("start", F.floor(at * (F.size("ids") - block)).cast("int"))
              .withColumn("_w", F.slice("ids", F.col("start") + 1, block + 1)))
     return drawn.select("slot", key, "start", *_pair(F.col("_w"), block))

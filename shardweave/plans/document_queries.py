@@ -171,9 +171,9 @@ def expected_total(spark, sf_dir):
 def _quota_entries(spark, sf_dir):
     """Quotas derived from source sizes: some cut, some exceed, some are absent."""
     docs = table(spark, sf_dir, "documents")
+    entries = cfg.config_from_column(docs, "source")  # checks how many there are
     sizes = {r.source: r.n for r in
-             docs.groupBy("source").agg(F.count("*").alias("n")).limit(cfg.MAX_SOURCES).collect()}
-    entries = cfg.config_from_column(docs, "source")
+             docs.groupBy("source").agg(F.count("*").alias("n")).collect()}
     for i, entry in enumerate(entries):
         quota = sizes[entry["path"]] * (5 + i % 10) // 12
         entry["max_docs"] = quota if i % 4 and quota else None
@@ -190,9 +190,7 @@ kept AS (
 
 
 def _kept(spark, sf_dir):
-    entries = _quota_entries(spark, sf_dir)
-    return ops.within_quota(
-        indexed_documents(spark, sf_dir), entries, [cfg.entry_key(e) for e in entries])
+    return ops.within_quota(indexed_documents(spark, sf_dir), _quota_entries(spark, sf_dir))
 
 
 @query(f"WITH {_SQL_QUOTA} SELECT source_id, doc_idx, doc_id FROM kept")

@@ -14,7 +14,7 @@ from shardweave.operators.order import running_total
 from shardweave.operators.tokenizers import BpeTokenizer, Tokenizer
 from shardweave.sources import artifacts, scan
 from shardweave.sources.binshards import write_shards_as_bins
-from shardweave.sources.config import check_entries, config_frame, entry_key
+from shardweave.sources.config import check_entries, config_frame
 
 ENCODED, SHARDS, VOCABULARY = "encoded", "shards", "tokenizer"
 
@@ -35,7 +35,7 @@ def merged_documents(spark: SparkSession, entries: list[dict]) -> DataFrame:
     """
     rows = scan.index_by_file(
         scan.spread(scan.scan_sources(spark, entries, file_order=True)))
-    kept = documents.within_quota(rows, entries, [entry_key(e) for e in entries])
+    kept = documents.within_quota(rows, entries)
     texts = documents.extract(kept)
     own_id = F.col("id") if "id" in texts.columns else F.lit(None).cast("string")
     return texts.select("source_id", "src_pos", "doc_idx", own_id.alias("id"), "text")

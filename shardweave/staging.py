@@ -42,14 +42,13 @@ def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> D
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged.staged_at = path
+    return staged
 
 
 def drop_stage(df: DataFrame) -> None:
-    """Delete the files of a staged table that no later step reads."""
+    """Delete a table made by ``stage`` that no later step reads."""
     spark = df.sparkSession
-    root = stage_root(spark)
-    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
-        if root.split("://")[-1].split(":", 1)[-1] in folder:
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.staged_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -92,10 +92,9 @@ def turn_by_turn(sizes, quotas):
 def test_round_robin_equals_turn_taking(spark):
     sizes, quotas = [7, 1, 0, 30, 12], [None, 5, 3, 9, 12]
     rows = [(f"s{s}", s, i) for s, n in enumerate(sizes) for i in range(n)]
-    entries = [{"path": f"s{s}", "split": "x", "max_docs": q} for s, q in enumerate(quotas)]
+    entries = [{"path": f"s{s}", "split": "x", "id": f"s{s}", "max_docs": q} for s, q in enumerate(quotas)]
     df = spark.createDataFrame(rows, "source_id string, src_pos int, k int").repartition(5)
-    kept = documents.within_quota(documents.index_documents(df, "k"), entries,
-                                  [e["path"] for e in entries])
+    kept = documents.within_quota(documents.index_documents(df, "k"), entries)
     merged = documents.merge_position(kept).orderBy("rr_pos").collect()
     assert [(r.src_pos, r.doc_idx) for r in merged] == turn_by_turn(sizes, quotas)
     assert [r.rr_pos for r in merged] == list(range(len(merged)))
