@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from shardweave.functions.arrays import bind
 
-SAMPLE_PER_BUCKET = 32
-MAX_BUCKETS = 4096
+SAMPLE_PER_BUCKET = 16
+ROWS_PER_BUCKET = 200_000
+MAX_BUCKETS = 65_536
 _BUCKET, _TOTAL, _BEFORE = "_bucket", "_bucket_total", "_bucket_before"
 
 
@@ -28,8 +29,8 @@ def running_total(df: DataFrame, order: list[str], value: str | None = None,
 
     ``order`` must name a unique key (per ``within`` group); sums restart for each
     group. Without ``value`` rows are counted, which makes ``out`` a 0-based index.
-    ``df`` is read three times, twice for narrow columns only, so pass a scan or a
-    staged table, not the end of a costly plan.
+    ``df`` is read a few times, all but once for narrow columns only, so pass a scan
+    or a staged table, not the end of a costly plan.
     """
     within = within or []
     amount = F.col(value).cast("long") if value else F.lit(1).cast("long")
@@ -54,18 +55,29 @@ def running_total(df: DataFrame, order: list[str], value: str | None = None,
 
 
 def _quantiles(df: DataFrame, keys: list[str], buckets: int | None) -> list:
+    """Cut points of the order key; they decide balance only, never results.
+
+    Rows whose key hash falls below a threshold are a repeatable uniform sample of a
+    chosen size, found by a filter: nothing is sorted but the sample.
+    """
     spark = df.sparkSession
+    rows = df.select(*keys).count()
     if buckets is None:
-        buckets = min(MAX_BUCKETS, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    # The rows with the smallest hashes are a fixed-size uniform sample.
-    sample = (
-        df.select(*keys).orderBy(F.xxhash64(*keys), *keys)
-        .limit(buckets * SAMPLE_PER_BUCKET)
-        .orderBy(*keys).collect()
-    )
-    wanted = min(buckets, len(sample) // SAMPLE_PER_BUCKET)
-    picked = [sample[len(sample) * i // wanted] for i in range(1, wanted)]
-    return [row for i, row in enumerate(picked) if i == 0 or row != picked[i - 1]]
+        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = min(MAX_BUCKETS, max(8 * partitions, rows // ROWS_PER_BUCKET))
+    buckets = max(1, min(buckets, rows // SAMPLE_PER_BUCKET))
+    if buckets == 1:
+        return []
+    wanted = buckets * SAMPLE_PER_BUCKET
+    sample = df.select(*keys)
+    if rows > 2 * wanted:
+        share = F.xxhash64(*keys).bitwiseAND(F.lit(2**62 - 1))
+        sample = sample.filter(share < F.lit(2**62 * wanted // rows)).limit(4 * wanted)
+    # The sample has a fixed size, so one task may number it.
+    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*keys))
+    cuts = (sample.withColumn("_place", place)
+            .filter(F.col("_place") % SAMPLE_PER_BUCKET == 0).orderBy("_place").collect())
+    return [row for i, row in enumerate(cuts) if i == 0 or row[:-1] != cuts[i - 1][:-1]]
 
 
 def _bucket(df: DataFrame, keys: list[str], cuts: list) -> Column:
