@@ -13,6 +13,7 @@ from shardweave.plans.corpus import (
 from shardweave.plans.registry import query, table
 from shardweave.sources import config as cfg
 from shardweave.sources import scan
+from shardweave.staging import stage
 
 # The four text tables as one configured corpus.
 _TABLES = ["documents", "conversations", "pages", "benchmark"]
@@ -208,9 +209,9 @@ WITH {_SQL_QUOTA}
 SELECT row_number() OVER (ORDER BY doc_idx, src_pos) - 1 AS rr_pos, source_id, doc_idx, doc_id
 FROM kept""")
 def round_robin(spark, sf_dir):
-    return ops.merge_position(
-        _kept(spark, sf_dir).select("source_id", "src_pos", "doc_idx", "doc_id")
-    ).select("rr_pos", "source_id", "doc_idx", "doc_id")
+    # Indexing is itself a running total: written once, not worked out for each pass.
+    kept = stage(_kept(spark, sf_dir).select("source_id", "src_pos", "doc_idx", "doc_id"), "kept")
+    return ops.merge_position(kept).select("rr_pos", "source_id", "doc_idx", "doc_id")
 
 
 @query("""

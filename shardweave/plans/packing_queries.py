@@ -198,7 +198,7 @@ FROM routed""")
 def token_offsets(spark, sf_dir):
     docs = routed_documents(spark, sf_dir).select(
         "doc_id", "split", "doc_idx", "src_pos", F.length("text").alias("n_tokens"))
-    return pack.token_offsets(docs).select("doc_id", "split", "span", "offset")
+    return pack.token_offsets(stage(docs, "lengths")).select("doc_id", "split", "span", "offset")
 
 
 def packed(spark, sf_dir, shard_size=SHARD_SIZE):
