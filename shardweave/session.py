@@ -15,6 +15,16 @@ SETTINGS = {
     "spark.sql.parquet.compression.codec": "zstd",
 }
 
+#: Those of the settings that a running session may still change.
+RUNTIME = tuple(key for key in SETTINGS if key.startswith("spark.sql."))
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the settings that the jobs rely on to a session made elsewhere."""
+    for key in RUNTIME:
+        spark.conf.set(key, SETTINGS[key])
+    return spark
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   memory: str = "8g", app: str = "shardweave") -> SparkSession:
