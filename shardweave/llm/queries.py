@@ -6,7 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+from shardweave.llm.decontaminate import contamination
+from shardweave.llm.mixture import even_weights, mix
 from shardweave.llm.near_dedup import near_duplicates
+from shardweave.llm.quality import quality
+from shardweave.llm.suffix_dedup import remove_repeats
 from shardweave.plans.registry import table
 from shardweave.session import configure
 
@@ -26,3 +31,32 @@ def query(sql: str | None = None):
 @query()
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(configure(spark), sf_dir, "documents"))
+
+
+@query()
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spark = configure(spark)
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("_key")
+
+
+@query()
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(configure(spark), sf_dir, "documents")).select(
+        "doc.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query()
+def op5_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(configure(spark), sf_dir, "documents")
+    return mix(docs, even_weights(docs))
+
+
+@query()
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spark = configure(spark)
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("_key")
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL is not None:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
