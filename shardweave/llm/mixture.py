@@ -43,7 +43,7 @@ def share(children: DataFrame, parent: list[str]) -> DataFrame:
     out = children.withColumn("ratio", ratio).withColumn("level", F.when(F.col("weight") > 0, level))
     full = F.col("level") >= F.col("ratio")
     out = out.withColumn("full", F.coalesce(full, F.lit(False)))
-    out = out.withColumn("first_level", F.min(F.when(~F.col("full"), F.col("level"))).over(group))
+    out = out.withColumn("first_level", F.max(F.when(~F.col("full"), F.col("level"))).over(group))
     budget = F.when(F.col("weight") <= 0, F.lit(0.0)).when(F.col("full"), F.col("supply")).otherwise(
         F.col("first_level") * F.col("weight"))
     return out.withColumn("budget", budget).drop("ratio", "level", "full", "first_level")
