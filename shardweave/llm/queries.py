@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from shardweave.llm.decontaminate import contamination
+from shardweave.llm.languages import languages
 from shardweave.llm.mixture import even_weights, mix
 from shardweave.llm.near_dedup import near_duplicates
 from shardweave.llm.quality import quality
 from shardweave.llm.suffix_dedup import remove_repeats
+from shardweave.llm.topk import top_k
+from shardweave.llm.url_filter import filter_urls
 from shardweave.plans.registry import table
 from shardweave.session import configure
 
@@ -60,3 +63,18 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
+@query()
+def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(configure(spark), sf_dir, "embeddings"))
+
+
+@query()
+def op7_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(table(configure(spark), sf_dir, "documents"))
+
+
+@query()
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(configure(spark), sf_dir, "pages"))
