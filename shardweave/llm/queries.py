@@ -5,14 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from shardweave.llm.decontaminate import contamination
 from shardweave.llm.languages import languages
+from shardweave.llm.licenses import scan_licenses
 from shardweave.llm.mixture import even_weights, mix
 from shardweave.llm.near_dedup import near_duplicates
 from shardweave.llm.quality import quality
 from shardweave.llm.suffix_dedup import remove_repeats
+from shardweave.llm.suffix_tree import score
 from shardweave.llm.topk import top_k
 from shardweave.llm.url_filter import filter_urls
 from shardweave.plans.registry import table
@@ -78,3 +81,15 @@ def op7_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(configure(spark), sf_dir, "pages"))
+
+
+@query()
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number = F.col("doc_id").cast("long")
+    path = F.concat_ws("/", "source", "lang", F.floor(number / 100).cast("string"), number.cast("string"))
+    return scan_licenses(table(configure(spark), sf_dir, "documents"), path)
+
+
+@query()
+def op8_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(table(configure(spark), sf_dir, "documents"))
