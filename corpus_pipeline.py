@@ -20,8 +20,8 @@ from shardweave.staging import stage
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
     verdicts = quality(docs, table(spark, sf_dir, "labels"))
-    bad = stage(verdicts.filter("not kept").select("_key").distinct(), "rejected")
-    return docs.join(bounded(bad), row_key() == F.col("_key"), "left_anti")
+    bad = stage(verdicts.filter("not kept").select(F.col("_key").alias("__row_key")).distinct(), "rejected")
+    return docs.join(bounded(bad), row_key() == F.col("__row_key"), "left_anti")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

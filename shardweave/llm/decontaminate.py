@@ -101,5 +101,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents without any benchmark window, columns as they are."""
-    bad = stage(contamination(docs, benchmark).filter("contaminated").select("_key").distinct(), "bad")
-    return docs.join(bounded(bad), row_key() == F.col("_key"), "left_anti")
+    bad = stage(contamination(docs, benchmark).filter("contaminated").select(F.col("_key").alias("__row_key")).distinct(), "bad")
+    return docs.join(bounded(bad), row_key() == F.col("__row_key"), "left_anti")

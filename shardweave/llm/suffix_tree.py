@@ -65,7 +65,7 @@ def score(docs: DataFrame) -> DataFrame:
     base = (F.coalesce(F.col("c"), F.lit(0)) + 1) / F.lit(float(total + distinct + 1))
 
     one = stage(train.filter("c1 is not null").groupBy("c1", "t").agg(F.count(F.lit(1)).alias("n1")), "one")
-    cost = F.col("kinds") * F.lit(0.5) * F.log(F.lit(float(max(total, 2))))
+    cost = F.col("kinds") * F.log(F.lit(float(max(total, 2))))
     words_side = bounded(words)
     sums1 = one.groupBy("c1").agg(F.sum("n1").alias("m1")).filter(F.col("m1") >= LEAST_COUNT)
     gain1 = one.join(sums1, "c1").join(words_side, "t").groupBy("c1", "m1").agg(
