@@ -83,7 +83,7 @@ def _bands(minima: np.ndarray) -> np.ndarray:
 
 def _packed(minima: np.ndarray) -> np.ndarray:
     """The low bits of each minimum, 16 to a 64-bit word."""
-    low = (minima & U64(2**BITS - 1)).reshape(len(minima), -1, 64 // BITS)
+    low = (minima & U64(2**BITS - 1)).reshape(len(minima), HASHES * BITS // 64, 64 // BITS)
     return np.bitwise_or.reduce(low << (np.arange(64 // BITS, dtype=np.uint64) * U64(BITS)), axis=2)
 
 
