@@ -1,45 +1,214 @@
 """Scores by a probabilistic suffix tree over words.
 
-Contexts are the last word or the last two. A context stays in the tree when the likelihood gained
-over its parent's distribution pays for its next words (a divergence test), and a longer
-one only below a context that stays. Next-word distributions are smoothed with those of the
-parent; each token is scored from the longest context in the tree.
+Contexts are the last word or the last two. As usual for such trees, a word sequence is looked at
+only if its probability reaches ``LEAST_SHARE`` (and it occurs ``LEAST_COUNT`` times). So there are
+at most a million words, pairs and triples of that kind whatever the corpus size, and these
+three tables are broadcast. All are counted exactly over all training text: a sequence can only be
+that frequent if its parts are, so rarer parts are left out before counting.
+
+A context stays in the tree when the likelihood gained over its parent's distribution pays for
+its next words (a divergence test), and a longer one only below a context that stays.
+What the frequent next words of a context leave is spread like the parent's distribution.
+Words too rare for the broadcast table get their counts from a join.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shardweave.llm.flat import Words, flatten, slices
-from shardweave.llm.joins import bounded
-from shardweave.llm.rowkeys import row_key
+from shardweave.llm.flat import U64, Words, flatten, mix, runs, slices
+from shardweave.llm.packed import by_route, pack, unpack_all
 from shardweave.staging import stage
 
 END = 1
-LEAST_COUNT, SMOOTH = 4, 2.0
+LEAST_COUNT, LEAST_SHARE, SMOOTH = 4, 1e-6, 2.0
+#: Tokens that a task counts before it hands its counts on; keys that a receiver of counts gets.
+CHUNK, ROUTE_KEYS = 2_000_000, 1_500_000
+#: Bits of a word number; LEAST_SHARE allows no more words.
+BITS = 20
+MASK = (1 << BITS) - 1
 
 
-def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _tokens(part: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of each row followed by its end token, and the bounds of the rows."""
+    words = Words(part, at)
+    return np.insert(words.hashes().view(np.int64), words.rows[1:], END), words.rows + np.arange(len(words.rows))
+
+
+def _total(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the sum of their counts."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = runs(keys)
+    if counts is None:
+        return keys[first], np.diff(np.append(first, len(keys)))
+    return keys[first], np.add.reduceat(counts[order], first) if len(keys) else counts
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], keys_of) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Counted keys of about CHUNK tokens at a time."""
+    held, size = [], 0
     for batch in batches:
         data, offsets = flatten(batch.column("text"))
-        for first, last, part, at in slices(data, offsets):
-            words = Words(part, at)
-            hashes = words.hashes().view(np.int64)
-            flat = np.insert(hashes, words.rows[1:], END)
-            bounds = words.rows + np.arange(len(words.rows))
+        for _, _, part, at in slices(data, offsets):
+            held.append(keys_of(_tokens(part, at)[0]))
+            size += len(held[-1])
+            if size >= CHUNK:
+                yield _total(np.concatenate(held))
+                held, size = [], 0
+    if size:
+        yield _total(np.concatenate(held))
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for keys, counts in _chunks(batches, lambda tokens: tokens):
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts.astype(np.int64))], ["t", "c"])
+
+
+def places(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Where each key is in a sorted table; -1 if it is not."""
+    if not len(table):
+        return np.full(len(keys), -1, np.int64)
+    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+    return np.where(table[at] == keys, at, -1)
+
+
+def _pairs(word: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """Key of the pair that ends at each token but the first; -1 if there is none."""
+    ok = (tokens[:-1] != END) & (word[:-1] >= 0) & (word[1:] >= 0)
+    return np.where(ok, (word[:-1] << BITS) | word[1:], -1)
+
+
+def _triples(pair_at: np.ndarray, pair: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Key of the triple that ends at each token but the first two; both its pairs are known."""
+    ok = (pair_at[:-1] >= 0) & (pair_at[1:] >= 0)
+    return np.where(ok, (pair[:-1] << BITS) | word[2:], -1)
+
+
+def _count_grams(shared, routes: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, pairs = shared.value
+
+        def keys_of(tokens: np.ndarray) -> np.ndarray:
+            word = places(words, tokens)
+            key = _pairs(word, tokens)
+            if pairs is not None:
+                key = _triples(places(pairs, key), key, word)
+            return key[key >= 0]
+
+        for keys, counts in _chunks(batches, keys_of):
+            to = (mix(keys.view(U64)) % U64(routes)).astype(np.int64)
+            once = counts == 1
+            out = [(r, True, pack(*a)) for r, a in by_route(to[once], keys[once])]
+            out += [(r, False, pack(*a)) for r, a in by_route(to[~once], keys[~once], counts[~once].astype(np.int64))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c).slice(first, last - first) for c in ("doc_id", "key", "held_out")]
-                + [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat, pa.int64()))],
-                ["doc_id", "key", "held_out", "tokens"])
+                [pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.bool_()),
+                 pa.array([o[2] for o in out], pa.binary())], ["to", "once", "packed"])
+    return run
+
 
+def _frequent(floor: int):
+    def run(table: pa.Table) -> pa.Table:
+        packed, once = table["packed"].to_pylist(), table["once"].to_pylist()
+        (ones,) = unpack_all([p for p, o in zip(packed, once) if o], ("i8",))
+        keys, counts = unpack_all([p for p, o in zip(packed, once) if not o], ("i8", "i8"))
+        keys, counts = _total(np.concatenate((ones, keys)), np.concatenate((np.ones(len(ones), np.int64), counts)))
+        keep = counts >= floor
+        return pa.table({"key": pa.array(keys[keep], pa.int64()), "n": pa.array(counts[keep], pa.int64())})
+    return run
 
-def _smoothed(n: str, total: str, parent: Column) -> Column:
-    return (F.coalesce(F.col(n), F.lit(0)) + SMOOTH * parent) / (F.col(total) + SMOOTH)
+
+def _sorted(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """A table of (key, count) of proven size, in order of its keys."""
+    rows = df.toArrow()
+    keys, counts = (rows.column(i).to_numpy() for i in range(2))
+    order = np.argsort(keys)
+    return keys[order], counts[order]
+
+
+def grow(context: np.ndarray, n: np.ndarray, m: np.ndarray, parent: np.ndarray, allowed: np.ndarray,
+         total: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which contexts stay, and the share of each that its frequent next words leave.
+
+    ``context``, ``n`` and ``parent`` are of the frequent next words: number of the context,
+    count, and the parent's probability. ``m`` and ``allowed`` are of the contexts.
+    """
+    size = len(m)
+    taken, kinds = np.bincount(context, n, size), np.bincount(context, minlength=size)
+    left = (m - taken + SMOOTH) / (m + SMOOTH)
+    p = n / (m[context] + SMOOTH) + left[context] * parent
+    gain = np.bincount(context, n * np.log(p / parent), size) + (m - taken) * np.log(left)
+    return allowed & (kinds > 0) & (gain > 0.5 * kinds * math.log(max(total, 2))), left
+
+
+class Tree:
+    """The fitted tables; all are sorted by key and of bounded size."""
+
+    def __init__(self, words, counts, pairs, pair_n, triples, triple_n, total: int, distinct: int):
+        self.words, self.pairs, self.triples = words, pairs, triples
+        self.counts, self.pair_n, self.triple_n = counts, pair_n, triple_n
+        self.floor = float(total + distinct + 1)
+        self.base = (counts + 1) / self.floor
+        self.first, self.left1 = grow(pairs >> BITS, pair_n, counts, self.base[pairs & MASK], words != END, total)
+        after, last = places(pairs, triples >> BITS), triples & MASK
+        self.second, self.left2 = grow(
+            after, triple_n, pair_n, self.one(pairs[after] & MASK, last, self.base[last]), self.first[pairs & MASK], total)
+
+    def one(self, context: np.ndarray, word: np.ndarray, base: np.ndarray) -> np.ndarray:
+        """Probability of a word after one word; numbers are -1 where a word is rare."""
+        at = places(self.pairs, np.where((context >= 0) & (word >= 0), (context << BITS) | word, -1))
+        known = np.where(at >= 0, self.pair_n[at], 0) if len(self.pairs) else np.zeros(len(at))
+        p = known / (self.counts[context] + SMOOTH) + self.left1[context] * base
+        return np.where((context >= 0) & self.first[context], p, base)
+
+    def probabilities(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number, base probability and probability of each token.
+
+        Those of rare words are to be multiplied by their base probability.
+        """
+        word = places(self.words, tokens)
+        if not len(self.words):
+            return word, np.ones(len(tokens)), np.ones(len(tokens))
+        base = np.where(word >= 0, self.base[word], 1.0)
+        p = base.copy()
+        inside = tokens[:-1] != END
+        p[1:] = np.where(inside, self.one(word[:-1], word[1:], base[1:]), base[1:])
+        if len(self.pairs) and len(tokens) > 2:
+            pair = _pairs(word, tokens)
+            at = places(self.pairs, pair)
+            context = at[:-1]
+            after = places(self.triples, _triples(at, pair, word))
+            n = np.where(after >= 0, self.triple_n[after], 0) if len(self.triples) else np.zeros(len(after))
+            longer = n / (self.pair_n[context] + SMOOTH) + self.left2[context] * p[2:]
+            p[2:] = np.where(inside[1:] & (context >= 0) & self.second[context], longer, p[2:])
+        return word, base, p
+
+
+def _score(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree = shared.value
+        for batch in batches:
+            data, offsets = flatten(batch.column("text"))
+            for first, last, part, at in slices(data, offsets):
+                tokens, bounds = _tokens(part, at)
+                word, base, p = tree.probabilities(tokens)
+                rare = word < 0
+                starts = bounds[:-1]
+                counted = [np.diff(bounds), np.add.reduceat((~rare).astype(np.int64), starts)]
+                sums = [np.add.reduceat(np.log10(x), starts) for x in (base, p)]
+                rows = np.concatenate(([0], np.cumsum(rare)))[bounds]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(c).slice(first, last - first) for c in ("doc_id", "row", "held_out")]
+                    + [pa.array(c, pa.int64()) for c in counted] + [pa.array(s) for s in sums]
+                    + [pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.array(tokens[rare], pa.int64()))],
+                    ["doc_id", "row", "held_out", "n", "known", "base", "score", "rare"])
+    return run
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -49,50 +218,34 @@ def score(docs: DataFrame) -> DataFrame:
     one end token. Null ids are held out. Rows that share doc_id and text are each counted in
     learning and each returned. With nothing to learn from, both scores are 0 per token.
     """
+    context = docs.sparkSession.sparkContext
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(True))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("key"), held.alias("held_out"),
-                       F.col("text").cast("string").alias("text")).mapInArrow(
-        _tokens, "doc_id long, key long, held_out boolean, tokens array<long>")
-    at = F.col("at")
-    events = rows.select("doc_id", "key", "held_out", "tokens", F.explode(
-        F.sequence(F.lit(0), F.size("tokens") - 1)).alias("at")).select(
-        "doc_id", "key", "held_out", F.col("tokens")[at].alias("t"),
-        F.when(at >= 1, F.col("tokens")[at - 1]).alias("c1"),
-        F.when(at >= 2, F.xxhash64(F.col("tokens")[at - 2], F.col("tokens")[at - 1])).alias("c2"))
-    train = events.filter("not held_out")
-    words = stage(train.groupBy("t").agg(F.count(F.lit(1)).alias("c")), "words")
-    total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    base = (F.coalesce(F.col("c"), F.lit(0)) + 1) / F.lit(float(total + distinct + 1))
-
-    one = stage(train.filter("c1 is not null").groupBy("c1", "t").agg(F.count(F.lit(1)).alias("n1")), "one")
-    cost = F.col("kinds") * F.log(F.lit(float(max(total, 2))))
-    words_side = bounded(words)
-    sums1 = one.groupBy("c1").agg(F.sum("n1").alias("m1")).filter(F.col("m1") >= LEAST_COUNT)
-    gain1 = one.join(sums1, "c1").join(words_side, "t").groupBy("c1", "m1").agg(
-        F.count(F.lit(1)).alias("kinds"), F.sum(F.col("n1") * F.log(F.col("n1") / F.col("m1") / base)).alias("gain"))
-    tree1 = stage(gain1.filter(F.col("gain") > cost).select("c1", "m1"), "tree")
-    next1 = stage(one.join(bounded(tree1), "c1").join(words_side, "t").select(
-        "c1", "t", "n1", _smoothed("n1", "m1", base).alias("p1")), "next")
-
-    two = train.filter("c2 is not null").join(bounded(tree1.select("c1")), "c1").groupBy("c2", "c1", "t").agg(
-        F.count(F.lit(1)).alias("n2"))
-    two = stage(two, "two")
-    sums2 = two.groupBy("c2").agg(F.sum("n2").alias("m2")).filter(F.col("m2") >= LEAST_COUNT)
-    gain2 = two.join(sums2, "c2").join(next1.select("c1", "t", "p1"), ["c1", "t"]).groupBy("c2", "m2").agg(
-        F.count(F.lit(1)).alias("kinds"), F.sum(F.col("n2") * F.log(F.col("n2") / F.col("m2") / F.col("p1"))).alias("gain"))
-    tree2 = stage(gain2.filter(F.col("gain") > cost).select("c2", "m2"), "tree")
-    next2 = stage(two.join(bounded(tree2), "c2").select("c2", "t", "n2"), "next")
-
-    found = (events.join(words_side, "t", "left").join(bounded(tree1), "c1", "left")
-             .join(bounded(next1.select("c1", "t", "n1")), ["c1", "t"], "left")
-             .join(bounded(tree2), "c2", "left").join(bounded(next2), ["c2", "t"], "left"))
-    p1 = F.when(F.col("m1").isNotNull(), _smoothed("n1", "m1", base)).otherwise(base)
-    p2 = F.when(F.col("m2").isNotNull(), _smoothed("n2", "m2", p1)).otherwise(p1)
-    sums = found.groupBy("doc_id", "key", "held_out").agg(
-        F.count(F.lit(1)).alias("n"), F.count("c").alias("known"), F.count(F.when(F.col("t") == END, 1)).alias("copies"),
-        F.sum(F.log10(base)).alias("b"), F.sum(F.log10(p2)).alias("s"))
-    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
-    return sums.withColumn("_i", each).select(
-        "doc_id", "held_out", F.expr("n div copies").alias("n_tokens"), F.expr("known div copies").alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"), (F.col("b") / F.col("copies")).alias("base_score"),
-        (F.col("s") / F.col("copies")).alias("score"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"),
+                       F.col("text").cast("string").alias("text"))
+    train = rows.filter("not held_out").select("text")
+    counted = stage(train.mapInArrow(_count_words, "t long, c long").groupBy("t").agg(F.sum("c").alias("c")), "words")
+    total, distinct = counted.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
+    floor = max(LEAST_COUNT, math.ceil(total * LEAST_SHARE))
+    words, counts = _sorted(counted.filter(F.col("c") >= floor))  # at most 1 / LEAST_SHARE rows
+    routes = max(64, -(-total // ROUTE_KEYS))
+
+    def grams(pairs: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        sent = train.mapInArrow(_count_grams(context.broadcast((words, pairs)), routes),
+                                "to long, once boolean, packed binary")
+        return _sorted(sent.groupBy("to").applyInArrow(_frequent(floor), "key long, n long"))
+
+    pairs, pair_n = grams(None)
+    triples, triple_n = grams(pairs)
+    tree = Tree(words, counts, pairs, pair_n, triples, triple_n, total, distinct)
+    scored = stage(rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
+        _score(context.broadcast(tree)), "doc_id long, row long, held_out boolean, n long, known long, base double, "
+                                         "score double, rare array<long>"), "scored")
+
+    seldom = scored.select("row", F.explode("rare").alias("t")).join(
+        counted.filter(F.col("c") < floor), "t", "left").groupBy("row").agg(
+        F.count("c").alias("more"), F.sum(F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(tree.floor))).alias("part"))
+    part = F.coalesce("part", F.lit(0.0))
+    return scored.join(seldom, "row", "left").select(
+        "doc_id", "held_out", F.col("n").alias("n_tokens"), (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
+        F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + part).alias("base_score"),
+        (F.col("score") + part).alias("score"))
