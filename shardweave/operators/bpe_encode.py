@@ -19,7 +19,7 @@ from shardweave.functions.bytelevel import (
     BOS, BYTE_TO_CHAR, EOS, UNK, from_byte_chars, words, words_with_specials)
 from shardweave.operators.bpe_train import Vocabulary, merge_symbols
 
-# Ids are exported as 16-bit numbers.
+# Vocabularies below this size are exported as 16-bit numbers.
 MAX_VOCAB = 65_536
 # Longer words are merged one by one, with a queue.
 LONG_WORD = 200
@@ -31,11 +31,15 @@ def check_width(vocab_size: int) -> int:
     return vocab_size
 
 
+def id_dtype(vocab_size: int) -> str:
+    """The number format of exported ids."""
+    return "uint16" if vocab_size < MAX_VOCAB else "uint32"
+
+
 def word_lookup(vocab: Vocabulary):
     """Arrow function from word lists to id lists."""
-    check_width(len(vocab.tokens))  # bounds what is shipped to the tasks
     ids = {t: i for i, t in enumerate(vocab.tokens)}
-    width = np.int64(len(ids) + 1)
+    width = np.int64(len(vocab.tokens) + 1)
     unknown = ids.get(UNK, -1)
     of_byte = np.array([ids.get(BYTE_TO_CHAR[b], unknown) for b in range(256)], np.int64)
     specials = {s: ids[s] for s in vocab.specials if s in ids}
@@ -152,19 +156,19 @@ def word_ids(counts: DataFrame, vocab: Vocabulary) -> DataFrame:
     return counts.select("word", lookup(F.array("word")).alias("ids"))
 
 
-def decode(ids: Column, vocab: Vocabulary) -> Column:
-    """Text of ``ids``; specials are dropped. Runs inside the JVM.
+def decode(ids: Column, vocab: Vocabulary, skip_specials: bool = True) -> Column:
+    """Text of ``ids``, without specials unless told otherwise. Runs inside the JVM.
 
     Text that did not start with a space comes back with the space encoding added.
     """
-    hidden = set(vocab.specials)
+    hidden = set(vocab.specials) if skip_specials else set()
     tokens = F.split(F.lit("\x01".join("" if t in hidden else t for t in vocab.tokens)), "\x01")
     return from_byte_chars(F.array_join(F.transform(ids, lambda i: F.get(tokens, i)), ""))
 
 
-def text_decoder(vocab: Vocabulary):
+def text_decoder(vocab: Vocabulary, skip_specials: bool = True):
     """``decode`` as a function that SQL can register."""
-    hidden = set(vocab.specials)
+    hidden = set(vocab.specials) if skip_specials else set()
     to_byte = {c: b for b, c in BYTE_TO_CHAR.items()}
     spelled = [b"" if t in hidden else bytes(to_byte[c] for c in t) for t in vocab.tokens]
 

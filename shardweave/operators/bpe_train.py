@@ -63,7 +63,7 @@ class Vocabulary:
                 return "special"
             return "byte" if len(token) == 1 else "merged"
 
-        rows = [(i, t, kind(t)) for i, t in enumerate(self.tokens)]
+        rows = [(i, t, kind(t)) for i, t in enumerate(self.tokens) if t]
         return spark.createDataFrame(rows, "id int, token string, kind string")
 
     def merges_frame(self, spark: SparkSession) -> DataFrame:

@@ -71,6 +71,7 @@ class CharTokenizer:
 
 class BpeTokenizer:
     kind = "bpe"
+    skip_specials = True
 
     def __init__(self, vocab_size: int = bpe_train.VOCAB_SIZE) -> None:
         self.wanted = vocab_size
@@ -89,7 +90,7 @@ class BpeTokenizer:
         return bpe_encode.encode(text, self._fitted(), add_specials)
 
     def decode(self, ids: Column) -> Column:
-        return bpe_encode.decode(ids, self._fitted())
+        return bpe_encode.decode(ids, self._fitted(), self.skip_specials)
 
     def save(self, spark: SparkSession, path: str) -> None:
         artifacts.save_vocabulary(self._fitted(), spark, path)
@@ -111,6 +112,7 @@ class PretrainedTokenizer(BpeTokenizer):
     """A published vocabulary read from ``vocab.json`` and ``merges.txt``."""
 
     kind = "pretrained"
+    skip_specials = False
 
     def __init__(self, spark: SparkSession | None = None, folder: str | None = None) -> None:
         super().__init__()
@@ -129,7 +131,8 @@ class PretrainedTokenizer(BpeTokenizer):
 KINDS = {
     "char": CharTokenizer, "CharTokenizer": CharTokenizer,
     "bpe": BpeTokenizer, "BPETokenizer": BpeTokenizer,
-    "hf_auto": PretrainedTokenizer, "pretrained": PretrainedTokenizer,
+    "hf_auto": PretrainedTokenizer, "HFAutoTokenizer": PretrainedTokenizer,
+    "pretrained": PretrainedTokenizer,
 }
 
 
@@ -155,4 +158,4 @@ def register_sql(spark: SparkSession, tok: Tokenizer) -> None:
         CREATE OR REPLACE TEMPORARY FUNCTION tokenize(t STRING) RETURNS ARRAY<INT>
         RETURN encode_words(if(t = '', cast(array() AS array<string>),
                                regexp_extract_all({prefix}, '{pattern}', 0)))""")
-    spark.udf.register("detokenize", bpe_encode.text_decoder(vocab))
+    spark.udf.register("detokenize", bpe_encode.text_decoder(vocab, tok.skip_specials))

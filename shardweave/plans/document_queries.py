@@ -56,12 +56,13 @@ SELECT source_id, (row_number() OVER (PARTITION BY source_id ORDER BY row_id) -
        row_id
 FROM (SELECT 'documents' AS source_id, doc_id AS row_id FROM documents
       UNION ALL SELECT 'pages', page_id FROM pages
-      UNION ALL SELECT 'benchmark', item_id FROM benchmark)""")
+      UNION ALL SELECT 'benchmark', item_id FROM benchmark
+      UNION ALL SELECT 'conversations', conv_id * 1000 + turn FROM conversations)""")
 def file_order_index(spark, sf_dir):
-    entries = [e for e in _entries(sf_dir) if e["id"] != "conversations"]
-    rows = scan.scan_sources(spark, entries, file_order=True)
+    rows = scan.scan_sources(spark, _entries(sf_dir), file_order=True)
+    turn = F.col("conv_id") * 1000 + F.col("turn")
     return scan.index_by_file(rows).select(
-        "source_id", "doc_idx", F.coalesce("doc_id", "page_id", "item_id").alias("row_id"))
+        "source_id", "doc_idx", F.coalesce("doc_id", "page_id", "item_id", turn).alias("row_id"))
 
 
 _CANDIDATES = """

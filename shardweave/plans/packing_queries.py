@@ -94,12 +94,15 @@ def stats_rollup(spark, sf_dir):
     return stats.rollup_stats(_counted(spark, sf_dir))
 
 
-def _complete(spark, sf_dir, kept: str = "source_id <> 'src7'"):
-    """Per-source counts where one configured source yields no rows."""
+_EMPTY = {"path": "empty", "split": "train", "id": "empty"}
+
+
+def _complete(spark, sf_dir):
+    """Per-source counts; one more source is configured that has no rows."""
     docs = table(spark, sf_dir, "documents")
-    config = config_frame(spark, config_from_column(docs, "source")).withColumnRenamed(
+    config = config_frame(spark, [*config_from_column(docs, "source"), _EMPTY]).withColumnRenamed(
         "split", "split_name")
-    found = stats.source_stats(_counted(spark, sf_dir).filter(kept))
+    found = stats.source_stats(_counted(spark, sf_dir))
     return stats.complete_stats(config, found)
 
 
@@ -107,8 +110,10 @@ _SQL_COMPLETE = _SQL_STATS + """,
 complete AS (
   SELECT sp.split, s.source_id, s.src_pos, coalesce(st.texts, 0) AS texts,
          coalesce(st.tokens, 0) AS tokens
-  FROM sources s CROSS JOIN (VALUES ('train'), ('val')) sp(split)
-  LEFT JOIN (SELECT * FROM stats WHERE source_id <> 'src7') st
+  FROM (SELECT source_id, src_pos FROM sources
+        UNION ALL SELECT 'empty', count(*)::INTEGER FROM sources) s
+  CROSS JOIN (VALUES ('train'), ('val')) sp(split)
+  LEFT JOIN stats st
          ON st.source_id = s.source_id AND st.split = sp.split),
 totals AS (
   SELECT split, sum(texts)::BIGINT AS texts, sum(tokens)::BIGINT AS tokens,
@@ -229,7 +234,7 @@ SELECT split, i::INTEGER AS shard_idx, format('{{}}_{{:03d}}.bin', split, i) AS
 FROM (SELECT *, unnest(range(greatest(1, ceil(tokens / {SHARD_SIZE}))::BIGINT)) AS i FROM totals)""")
 def shard_layout(spark, sf_dir):
     found = pack.shard_lengths(packed(spark, sf_dir))
-    files = pack.shard_list(stats.split_totals(_complete(spark, sf_dir, "true")), SHARD_SIZE)
+    files = pack.shard_list(stats.split_totals(_complete(spark, sf_dir)), SHARD_SIZE)
     return files.join(found, ["split", "shard_idx"], "left").select(
         "split", "shard_idx", "file", F.coalesce("length", F.lit(0).cast("long")).alias("length"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shardweave.functions.split import check_ratio
 from shardweave.operators import documents, pack, stats
-from shardweave.operators.bpe_encode import check_width
+from shardweave.operators.bpe_encode import id_dtype
 from shardweave.operators.order import running_total
 from shardweave.operators.tokenizers import BpeTokenizer, Tokenizer
 from shardweave.sources import artifacts, scan
@@ -45,12 +45,13 @@ def prepare_corpus(spark: SparkSession, entries: list[dict], out: str,
                    tokenizer: Tokenizer | None = None, val_ratio: float = 0.01,
                    shard_size: int = pack.SHARD_SIZE, digest: str = "sha256",
                    reuse_vocabulary: bool = False, fit_on: str = "all",
-                   export_bins: bool = False) -> Prepared:
+                   export_bins: bool = True) -> Prepared:
     """Merge, split by hash, learn, encode, pack, and describe many sources.
 
     ``fit_on``: learn the vocabulary from "all" documents or from "train" only.
     Documents are read again for encoding rather than kept: a scan is cheaper than
-    storing the corpus twice. What encoding yields is written once.
+    storing the corpus twice. What encoding yields is written once. The manifests list
+    the ``.bin`` files, which only ``export_bins`` writes.
     """
     check_ratio(val_ratio), check_entries(entries)
     if fit_on not in ("all", "train"):
@@ -62,7 +63,7 @@ def prepare_corpus(spark: SparkSession, entries: list[dict], out: str,
     else:
         tokenizer.fit(docs if fit_on == "all" else docs.filter("split = 'train'"))
         tokenizer.save(spark, f"{out}/{VOCABULARY}")
-    check_width(tokenizer.vocab_size)
+    dtype = id_dtype(tokenizer.vocab_size)
 
     ids = tokenizer.encode(F.col("text")).alias("ids")
     (docs.select("split", "source_id", "src_pos", "doc_idx", "doc_key", ids)
@@ -74,11 +75,11 @@ def prepare_corpus(spark: SparkSession, entries: list[dict], out: str,
 
     config = config_frame(spark, entries).withColumnRenamed("split", "split_name")
     counted = stats.complete_stats(config, stats.source_stats(encoded))
-    shape = (tokenizer.kind, tokenizer.vocab_size, val_ratio, shard_size)
+    shape = (tokenizer.kind, tokenizer.vocab_size, val_ratio, shard_size, dtype)
     artifacts.save_manifests(stats.root_manifest(counted, *shape),
                              stats.split_manifests(counted, *shape), out)
     if export_bins:
-        write_shards_as_bins(shards, out)
+        write_shards_as_bins(shards, out, dtype)
     return Prepared(encoded, shards, counted)
 
 
@@ -97,7 +98,7 @@ def prepare_single(spark: SparkSession, path: str, out: str, order: str | None =
     docs = documents.route_prefix(placed.select("position", "text"), train_fraction, "position")
     tokenizer.fit(docs.filter("split = 'train'"))
     tokenizer.save(spark, f"{out}/{VOCABULARY}")
-    check_width(tokenizer.vocab_size)
+    dtype = id_dtype(tokenizer.vocab_size)
     (docs.select("split", "position", tokenizer.encode(F.col("text")).alias("ids"))
      .withColumn("n_tokens", F.size("ids")).write.parquet(f"{out}/{ENCODED}"))
     encoded = spark.read.parquet(f"{out}/{ENCODED}")
@@ -105,6 +106,6 @@ def prepare_single(spark: SparkSession, path: str, out: str, order: str | None =
     pack.write_shards(pack.cut_into_shards(located, tokenizer.eos_id, shard_size=None),
                       f"{out}/{SHARDS}")
     summary = stats.simple_manifest(encoded, path, tokenizer.kind, tokenizer.vocab_size,
-                                    train_fraction)
+                                    train_fraction, dtype)
     artifacts.write_json(summary.first().manifest, f"{out}/meta.json")
     return Prepared(encoded, spark.read.parquet(f"{out}/{SHARDS}"), summary)

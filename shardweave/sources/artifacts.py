@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardweave.operators import char_vocab
-from shardweave.operators.bpe_encode import MAX_VOCAB
 from shardweave.operators.bpe_train import Vocabulary
 
+# Vocabularies live on the driver; a larger table is an error, never cut.
+MAX_TOKENS = 4_000_000
+
 
 def save_vocabulary(vocab: Vocabulary, spark: SparkSession, path: str) -> None:
     """Tables ``vocab`` and ``merges`` under ``path``; both are small."""
@@ -21,12 +23,24 @@ def save_vocabulary(vocab: Vocabulary, spark: SparkSession, path: str) -> None:
         1).write.mode("overwrite").parquet(f"{path}/settings")
 
 
+def _by_id(ids: dict[str, int]) -> list[str]:
+    """Tokens at the places of their ids; places that no token has are empty."""
+    tokens = [""] * (max(ids.values(), default=-1) + 1)
+    for token, at in ids.items():
+        tokens[at] = token
+    return tokens
+
+
 def load_vocabulary(spark: SparkSession, path: str) -> Vocabulary:
-    rows = spark.read.parquet(f"{path}/vocab").orderBy("id").limit(MAX_VOCAB).collect()
+    saved = spark.read.parquet(f"{path}/vocab")
+    size = saved.count()
+    if size > MAX_TOKENS:
+        raise ValueError(f"vocabulary of {size} tokens; at most {MAX_TOKENS} are supported")
+    rows = saved.collect()
     merges = spark.read.parquet(f"{path}/merges").orderBy("rank").collect()
     settings = spark.read.parquet(f"{path}/settings").first()
-    return Vocabulary([r.token for r in rows], [(r.left, r.right) for r in merges],
-                      [r.token for r in rows if r.kind == "special"], settings.prefix_space)
+    return Vocabulary(_by_id({r.token: r.id for r in rows}), [(r.left, r.right) for r in merges],
+                      [r.token for r in sorted(rows, key=lambda r: r.id) if r.kind == "special"], settings.prefix_space)
 
 
 def import_pretrained(spark: SparkSession, vocab_json: str, merges_txt: str,
@@ -36,7 +50,7 @@ def import_pretrained(spark: SparkSession, vocab_json: str, merges_txt: str,
     lines = spark.read.text(merges_txt, wholetext=True).first().value.splitlines()
     merges = [tuple(line.split(" ")) for line in lines
               if line and not line.startswith("#version")]
-    return Vocabulary(sorted(tokens, key=tokens.get), merges,
+    return Vocabulary(_by_id(tokens), merges,
                       [s for s in specials if s in tokens], prefix_space=False)
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from shardweave.operators.order import running_total
 from shardweave.sources.config import check_entries, entry_key
 
+# Columns that may hold the text.
+TEXT_COLUMNS = ("text", "content", "document")
 # Above this many files the per-file table is no longer broadcast.
 MAX_BROADCAST_FILES = 50_000
 
@@ -33,7 +35,24 @@ def scan_sources(spark: SparkSession, entries: list[dict],
     """All configured sources as one bag; columns a source lacks are null."""
     parts = [scan_source(spark, e, i, file_order)
              for i, e in enumerate(check_entries(entries))]
-    return concat(parts)
+    return concat(_alike(parts))
+
+
+def _alike(parts: list[DataFrame]) -> list[DataFrame]:
+    """Sources with columns that can be united without changing any text.
+
+    A candidate text column that is not a string holds no text; other columns whose type
+    differs between sources are left out.
+    """
+    kinds: dict[str, set[str]] = {}
+    for part in parts:
+        for name, kind in part.dtypes:
+            kinds.setdefault(name, set()).add(kind)
+    mixed = {n for n, k in kinds.items() if len(k) > 1 and n not in TEXT_COLUMNS}
+    none = F.lit(None).cast("string")
+    return [part.select(*[
+        none.alias(n) if n in TEXT_COLUMNS and kind != "string" else F.col(f"`{n}`")
+        for n, kind in part.dtypes if n not in mixed]) for part in parts]
 
 
 def concat(parts: list[DataFrame]) -> DataFrame:

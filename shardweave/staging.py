@@ -26,8 +26,9 @@ def stage_root(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not sc.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a shared folder")
-    return _local_roots.setdefault(
-        sc.applicationId, tempfile.mkdtemp(prefix="shardweave-"))
+    if sc.applicationId not in _local_roots:
+        _local_roots[sc.applicationId] = tempfile.mkdtemp(prefix="shardweave-")
+    return _local_roots[sc.applicationId]
 
 
 def new_path(spark: SparkSession, label: str) -> str:
