@@ -1,15 +1,17 @@
 """Scores by a probabilistic suffix tree over words.
 
-Contexts are the last word or the last two. As usual for such trees, a word sequence is looked at
-only if its probability reaches ``LEAST_SHARE`` (and it occurs ``LEAST_COUNT`` times). So there are
-at most a million words, pairs and triples of that kind whatever the corpus size, and these
-three tables are broadcast. All are counted exactly over all training text: a sequence can only be
-that frequent if its parts are, so rarer parts are left out before counting.
+Contexts are the last word or the last two. A word sequence counts as a next word of its context
+if it occurs ``LEAST_COUNT`` times in the training text, whatever the corpus size. Words, pairs
+and triples are told apart by 64-bit hashes and kept as written tables that grow with the corpus.
 
 A context stays in the tree when the likelihood gained over its parent's distribution pays for
 its next words (a divergence test), and a longer one only below a context that stays.
 What the frequent next words of a context leave is spread like the parent's distribution.
-Words too rare for the broadcast table get their counts from a join.
+
+In logarithms a document's score is a sum of one value per word, pair and triple in it, so it
+takes one join of (row, key) with the table of values. Two things only save work: values of
+the most common keys are looked up in a broadcast table, and bit maps of fixed size leave out most
+keys that have no value or too few occurrences. Neither changes a result.
 """
 
 from __future__ import annotations
@@ -24,15 +26,16 @@ from pyspark.sql import functions as F
 
 from shardweave.llm.flat import U64, Words, flatten, mix, runs, slices
 from shardweave.llm.packed import by_route, pack, unpack_all
-from shardweave.staging import stage
+from shardweave.staging import drop_stage, stage
 
 END = 1
-LEAST_COUNT, LEAST_SHARE, SMOOTH = 4, 1e-6, 2.0
+LEAST_COUNT, SMOOTH = 4, 2.0
+#: Keys with at least this share of all training tokens are broadcast with their values.
+HOT_SHARE = 1e-6
 #: Tokens that a task counts before it hands its counts on; keys that a receiver of counts gets.
-CHUNK, ROUTE_KEYS = 2_000_000, 1_500_000
-#: Bits of a word number; LEAST_SHARE allows no more words.
-BITS = 20
-MASK = (1 << BITS) - 1
+CHUNK, ROUTE_KEYS = 1_000_000, 500_000
+#: Bits of a bit map, as powers of two; it has 16 to 32 bits a key up to the largest size.
+LEAST_BITS, MOST_BITS = 16, 29
 
 
 def _tokens(part: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -41,34 +44,43 @@ def _tokens(part: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.insert(words.hashes().view(np.int64), words.rows[1:], END), words.rows + np.arange(len(words.rows))
 
 
-def _total(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order, and the sum of their counts."""
+def gram(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Key of two words, or of two pairs that share their middle word."""
+    return mix(left.view(U64) * U64(0x9E3779B97F4A7C15) + right.view(U64)).view(np.int64)
+
+
+def _total(keys: np.ndarray, counts: np.ndarray | None, *more: np.ndarray) -> list[np.ndarray]:
+    """Distinct keys in order, the sum of their counts, and what else belongs to each key."""
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     first = runs(keys)
     if counts is None:
-        return keys[first], np.diff(np.append(first, len(keys)))
-    return keys[first], np.add.reduceat(counts[order], first) if len(keys) else counts
+        counts = np.diff(np.append(first, len(keys)))
+    elif len(keys):
+        counts = np.add.reduceat(counts[order], first)
+    return [keys[first], counts.astype(np.int64), *(m[order[first]] for m in more)]
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], keys_of) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _chunks(batches: Iterator[pa.RecordBatch], keys_of) -> Iterator[list[np.ndarray]]:
     """Counted keys of about CHUNK tokens at a time."""
     held, size = [], 0
     for batch in batches:
         data, offsets = flatten(batch.column("text"))
         for _, _, part, at in slices(data, offsets):
             held.append(keys_of(_tokens(part, at)[0]))
-            size += len(held[-1])
+            size += len(held[-1][0])
             if size >= CHUNK:
-                yield _total(np.concatenate(held))
+                keys, *more = (np.concatenate(h) for h in zip(*held))
+                yield _total(keys, None, *more)
                 held, size = [], 0
     if size:
-        yield _total(np.concatenate(held))
+        keys, *more = (np.concatenate(h) for h in zip(*held))
+        yield _total(keys, None, *more)
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for keys, counts in _chunks(batches, lambda tokens: tokens):
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts.astype(np.int64))], ["t", "c"])
+    for keys, counts in _chunks(batches, lambda tokens: (tokens,)):
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["key", "n"])
 
 
 def places(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -79,173 +91,194 @@ def places(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(table[at] == keys, at, -1)
 
 
-def _pairs(word: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-    """Key of the pair that ends at each token but the first; -1 if there is none."""
-    ok = (tokens[:-1] != END) & (word[:-1] >= 0) & (word[1:] >= 0)
-    return np.where(ok, (word[:-1] << BITS) | word[1:], -1)
+def _bits(power: int):
+    def run(table: pa.Table) -> pa.Table:
+        keys = table["key"].to_numpy().view(U64)
+        marks = np.zeros(1 << (power - 8), bool)
+        marks[(keys >> U64(64 - power)) & U64(len(marks) - 1)] = True
+        return pa.table({"part": pa.array([int(keys[0] >> U64(56))], pa.int64()),
+                         "bits": pa.array([np.packbits(marks, bitorder="little").tobytes()], pa.binary())})
+    return run
 
 
-def _triples(pair_at: np.ndarray, pair: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """Key of the triple that ends at each token but the first two; both its pairs are known."""
-    ok = (pair_at[:-1] >= 0) & (pair_at[1:] >= 0)
-    return np.where(ok, (pair[:-1] << BITS) | word[2:], -1)
+def bit_map(keys: DataFrame) -> tuple[int, np.ndarray]:
+    """Marks of all keys by their leading bits; its size does not go beyond 2**MOST_BITS bits."""
+    power = min(MOST_BITS, max(LEAST_BITS, (16 * keys.count()).bit_length()))
+    out = np.zeros(1 << (power - 3), np.uint8)
+    width = len(out) >> 8
+    marked = keys.select("key").groupBy(F.shiftrightunsigned("key", 56)).applyInArrow(
+        _bits(power), "part long, bits binary")
+    for r in marked.toLocalIterator():
+        out[r.part * width:(r.part + 1) * width] = np.frombuffer(r.bits, np.uint8)
+    return power, out
 
 
-def _count_grams(shared, routes: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, pairs = shared.value
+def marked(bits: tuple[int, np.ndarray], keys: np.ndarray) -> np.ndarray:
+    """False only where a key is certainly not among those of the bit map."""
+    at = keys.view(U64) >> U64(64 - bits[0])
+    return (bits[1][at >> U64(3)] >> (at & U64(7)).astype(np.uint8)) & 1 > 0
 
-        def keys_of(tokens: np.ndarray) -> np.ndarray:
-            word = places(words, tokens)
-            key = _pairs(word, tokens)
-            if pairs is not None:
-                key = _triples(places(pairs, key), key, word)
-            return key[key >= 0]
 
-        for keys, counts in _chunks(batches, keys_of):
-            to = (mix(keys.view(U64)) % U64(routes)).astype(np.int64)
+def _count_grams(shared, pairs: bool, routes: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = shared.value
+
+        def keys_of(tokens: np.ndarray) -> tuple[np.ndarray, ...]:
+            inside = tokens[:-1] != END
+            keys = tokens if pairs else gram(tokens[:-1], tokens[1:])
+            inside = inside if pairs else inside[:-1] & inside[1:]
+            known = marked(frequent, keys)
+            ok = np.flatnonzero(inside & known[:-1] & known[1:])
+            left, right = keys[ok], keys[ok + 1]
+            return gram(left, right), left, right
+
+        for keys, counts, left, right in _chunks(batches, keys_of):
+            to = (keys.view(U64) % U64(routes)).astype(np.int64)
             once = counts == 1
-            out = [(r, True, pack(*a)) for r, a in by_route(to[once], keys[once])]
-            out += [(r, False, pack(*a)) for r, a in by_route(to[~once], keys[~once], counts[~once].astype(np.int64))]
+            out = [(r, True, pack(*a)) for r, a in by_route(to[once], left[once], right[once])]
+            out += [(r, False, pack(*a)) for r, a in by_route(to[~once], left[~once], right[~once], counts[~once])]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.bool_()),
                  pa.array([o[2] for o in out], pa.binary())], ["to", "once", "packed"])
     return run
 
 
-def _frequent(floor: int):
-    def run(table: pa.Table) -> pa.Table:
-        packed, once = table["packed"].to_pylist(), table["once"].to_pylist()
-        (ones,) = unpack_all([p for p, o in zip(packed, once) if o], ("i8",))
-        keys, counts = unpack_all([p for p, o in zip(packed, once) if not o], ("i8", "i8"))
-        keys, counts = _total(np.concatenate((ones, keys)), np.concatenate((np.ones(len(ones), np.int64), counts)))
-        keep = counts >= floor
-        return pa.table({"key": pa.array(keys[keep], pa.int64()), "n": pa.array(counts[keep], pa.int64())})
-    return run
-
+def _frequent(table: pa.Table) -> pa.Table:
+    packed, once = table["packed"].to_pylist(), table["once"].to_pylist()
+    ones = unpack_all([p for p, o in zip(packed, once) if o], ("i8", "i8"))
+    many = unpack_all([p for p, o in zip(packed, once) if not o], ("i8", "i8", "i8"))
+    left, right = (np.concatenate((ones[i], many[i])).astype(np.int64) for i in range(2))
+    counts = np.concatenate((np.ones(len(ones[0]), np.int64), many[2].astype(np.int64)))
+    keys, counts, left, right = _total(gram(left, right), counts, left, right)
+    keep = counts >= LEAST_COUNT
+    return pa.table({c: pa.array(a[keep], pa.int64()) for c, a in zip(("key", "left", "right", "n"),
+                                                                      (keys, left, right, counts))})
 
-def _sorted(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """A table of (key, count) of proven size, in order of its keys."""
-    rows = df.toArrow()
-    keys, counts = (rows.column(i).to_numpy() for i in range(2))
-    order = np.argsort(keys)
-    return keys[order], counts[order]
 
+def grow(grams: DataFrame, contexts: DataFrame, parents: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:
+    """Which contexts stay, and the probability of each gram.
 
-def grow(context: np.ndarray, n: np.ndarray, m: np.ndarray, parent: np.ndarray, allowed: np.ndarray,
-         total: int) -> tuple[np.ndarray, np.ndarray]:
-    """Which contexts stay, and the share of each that its frequent next words leave.
+    ``grams`` (key, left, right, n) are the frequent next words: ``left`` is the key of the context,
+    ``right`` that of the gram without its first word. ``contexts`` (key, m) may stay;
+    ``parents`` (key, p) holds the parent's probability of every ``right``.
 
-    ``context``, ``n`` and ``parent`` are of the frequent next words: number of the context,
-    count, and the parent's probability. ``m`` and ``allowed`` are of the contexts.
+    Returns contexts that stay (key, value), and grams of all contexts (key, right, n, p, value).
+    The values are what a context adds to the score, and what a gram adds beyond that.
     """
-    size = len(m)
-    taken, kinds = np.bincount(context, n, size), np.bincount(context, minlength=size)
-    left = (m - taken + SMOOTH) / (m + SMOOTH)
-    p = n / (m[context] + SMOOTH) + left[context] * parent
-    gain = np.bincount(context, n * np.log(p / parent), size) + (m - taken) * np.log(left)
-    return allowed & (kinds > 0) & (gain > 0.5 * kinds * math.log(max(total, 2))), left
-
-
-class Tree:
-    """The fitted tables; all are sorted by key and of bounded size."""
-
-    def __init__(self, words, counts, pairs, pair_n, triples, triple_n, total: int, distinct: int):
-        self.words, self.pairs, self.triples = words, pairs, triples
-        self.counts, self.pair_n, self.triple_n = counts, pair_n, triple_n
-        self.floor = float(total + distinct + 1)
-        self.base = (counts + 1) / self.floor
-        self.first, self.left1 = grow(pairs >> BITS, pair_n, counts, self.base[pairs & MASK], words != END, total)
-        after, last = places(pairs, triples >> BITS), triples & MASK
-        self.second, self.left2 = grow(
-            after, triple_n, pair_n, self.one(pairs[after] & MASK, last, self.base[last]), self.first[pairs & MASK], total)
-
-    def one(self, context: np.ndarray, word: np.ndarray, base: np.ndarray) -> np.ndarray:
-        """Probability of a word after one word; numbers are -1 where a word is rare."""
-        at = places(self.pairs, np.where((context >= 0) & (word >= 0), (context << BITS) | word, -1))
-        known = np.where(at >= 0, self.pair_n[at], 0) if len(self.pairs) else np.zeros(len(at))
-        p = known / (self.counts[context] + SMOOTH) + self.left1[context] * base
-        return np.where((context >= 0) & self.first[context], p, base)
-
-    def probabilities(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Number, base probability and probability of each token.
-
-        Those of rare words are to be multiplied by their base probability.
-        """
-        word = places(self.words, tokens)
-        if not len(self.words):
-            return word, np.ones(len(tokens)), np.ones(len(tokens))
-        base = np.where(word >= 0, self.base[word], 1.0)
-        p = base.copy()
-        inside = tokens[:-1] != END
-        p[1:] = np.where(inside, self.one(word[:-1], word[1:], base[1:]), base[1:])
-        if len(self.pairs) and len(tokens) > 2:
-            pair = _pairs(word, tokens)
-            at = places(self.pairs, pair)
-            context = at[:-1]
-            after = places(self.triples, _triples(at, pair, word))
-            n = np.where(after >= 0, self.triple_n[after], 0) if len(self.triples) else np.zeros(len(after))
-            longer = n / (self.pair_n[context] + SMOOTH) + self.left2[context] * p[2:]
-            p[2:] = np.where(inside[1:] & (context >= 0) & self.second[context], longer, p[2:])
-        return word, base, p
+    taken = grams.groupBy("left").agg(F.sum("n").alias("taken"), F.count(F.lit(1)).alias("kinds"))
+    rest = contexts.withColumnRenamed("key", "left").join(taken, "left").select(
+        "left", "m", "kinds", (F.col("m") - F.col("taken")).alias("other"),
+        ((F.col("m") - F.col("taken") + SMOOTH) / (F.col("m") + SMOOTH)).alias("rest"))
+    longer = F.col("n") / (F.col("m") + SMOOTH) + F.col("rest") * F.col("parent")
+    full = stage(grams.join(rest, "left").join(
+        parents.select(F.col("key").alias("right"), F.col("p").alias("parent")), "right").select(
+        "key", "left", "right", "n", "parent", "rest", "kinds", "other", longer.alias("longer")), "grams")
+    gain = full.groupBy("left").agg(
+        F.sum(F.col("n") * F.log(F.col("longer") / F.col("parent"))).alias("gain"),
+        F.first("kinds").alias("kinds"), F.first("other").alias("other"), F.first("rest").alias("rest"))
+    stays = stage(gain.filter(F.col("gain") + F.col("other") * F.log("rest")
+                              > F.col("kinds") * F.lit(0.5 * math.log(max(total, 2)))).select(
+        F.col("left").alias("key"), F.log10("rest").alias("value")), "contexts")
+    inside = F.col("context").isNotNull()
+    made = stage(full.join(stays.select(F.col("key").alias("left"), F.col("value").alias("context")), "left", "left").select(
+        "key", "right", "n", F.when(inside, F.col("longer")).otherwise(F.col("parent")).alias("p"),
+        F.when(inside, F.log10("longer") - F.col("context") - F.log10("parent")).otherwise(0.0).alias("value")), "next")
+    drop_stage(full)
+    return stays, made
 
 
 def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = shared.value
+        hot, base, value, bits = shared.value
         for batch in batches:
             data, offsets = flatten(batch.column("text"))
             for first, last, part, at in slices(data, offsets):
                 tokens, bounds = _tokens(part, at)
-                word, base, p = tree.probabilities(tokens)
-                rare = word < 0
-                starts = bounds[:-1]
-                counted = [np.diff(bounds), np.add.reduceat((~rare).astype(np.int64), starts)]
-                sums = [np.add.reduceat(np.log10(x), starts) for x in (base, p)]
-                rows = np.concatenate(([0], np.cumsum(rare)))[bounds]
+                size = last - first
+                owner = np.repeat(np.arange(size), np.diff(bounds))
+                inside = tokens[:-1] != END
+                pairs = gram(tokens[:-1], tokens[1:])
+                two = np.flatnonzero(inside)
+                three = np.flatnonzero(inside[:-1] & inside[1:])
+                found = places(hot, tokens)
+                known = found >= 0
+                counted = [np.diff(bounds), np.bincount(owner[known], minlength=size)]
+                sums = [np.bincount(owner[known], x[found[known]], size).astype(np.float64) for x in (base, value)]
+                asked, rows = [tokens[~known]], [owner[~known]]
+                for keys, row in ((pairs[two], owner[two]), (gram(pairs[three], pairs[three + 1]), owner[three])):
+                    found = places(hot, keys)
+                    ok = found >= 0
+                    sums[1] += np.bincount(row[ok], value[found[ok]], size)
+                    rest = np.flatnonzero(~ok)
+                    rest = rest[marked(bits, keys[rest])]
+                    asked.append(keys[rest])
+                    rows.append(row[rest])
+                asked, rows = np.concatenate(asked), np.concatenate(rows)
+                order = np.argsort(rows, kind="stable")
+                starts = np.searchsorted(rows[order], np.arange(size + 1))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(c).slice(first, last - first) for c in ("doc_id", "row", "held_out")]
+                    [batch.column(c).slice(first, size) for c in ("doc_id", "row", "held_out")]
                     + [pa.array(c, pa.int64()) for c in counted] + [pa.array(s) for s in sums]
-                    + [pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.array(tokens[rare], pa.int64()))],
-                    ["doc_id", "row", "held_out", "n", "known", "base", "score", "rare"])
+                    + [pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(asked[order], pa.int64()))],
+                    ["doc_id", "row", "held_out", "n", "known", "base", "value", "asked"])
     return run
 
 
-def score(docs: DataFrame) -> DataFrame:
+def score(docs: DataFrame, hot_share: float = HOT_SHARE) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Learns from documents whose crc32(doc_id as text) mod 7 is not 2. Null and empty texts are
     one end token. Null ids are held out. Rows that share doc_id and text are each counted in
     learning and each returned. With nothing to learn from, both scores are 0 per token.
+    ``hot_share`` only says which values are broadcast.
     """
     context = docs.sparkSession.sparkContext
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(True))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"),
                        F.col("text").cast("string").alias("text"))
     train = rows.filter("not held_out").select("text")
-    counted = stage(train.mapInArrow(_count_words, "t long, c long").groupBy("t").agg(F.sum("c").alias("c")), "words")
-    total, distinct = counted.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    floor = max(LEAST_COUNT, math.ceil(total * LEAST_SHARE))
-    words, counts = _sorted(counted.filter(F.col("c") >= floor))  # at most 1 / LEAST_SHARE rows
+    counted = stage(train.mapInArrow(_count_words, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "words")
+    total, distinct = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    floor = float(total + distinct + 1)
     routes = max(64, -(-total // ROUTE_KEYS))
 
-    def grams(pairs: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-        sent = train.mapInArrow(_count_grams(context.broadcast((words, pairs)), routes),
+    def frequent(parts: DataFrame, pairs: bool) -> DataFrame:
+        sent = train.mapInArrow(_count_grams(context.broadcast(bit_map(parts)), pairs, routes),
                                 "to long, once boolean, packed binary")
-        return _sorted(sent.groupBy("to").applyInArrow(_frequent(floor), "key long, n long"))
-
-    pairs, pair_n = grams(None)
-    triples, triple_n = grams(pairs)
-    tree = Tree(words, counts, pairs, pair_n, triples, triple_n, total, distinct)
+        return stage(sent.groupBy("to").applyInArrow(_frequent, "key long, left long, right long, n long"), "frequent")
+
+    words = counted.filter(F.col("n") >= LEAST_COUNT)
+    base = F.log10((F.col("n") + 1) / F.lit(floor))
+    first, pairs = grow(frequent(words, True), words.filter(F.col("key") != END).select("key", F.col("n").alias("m")),
+                        words.select("key", ((F.col("n") + 1) / F.lit(floor)).alias("p")), total)
+    # A pair may stay as a context if its last word does.
+    below = pairs.join(first.select(F.col("key").alias("right")), "right", "left_semi")
+    second, triples = grow(frequent(pairs, False), below.select("key", F.col("n").alias("m")),
+                           pairs.select("key", "p"), total)
+    columns = "key", "n", "word", "base", "value"
+    more = F.coalesce(F.col("context"), F.lit(0.0))
+    values = stage(
+        counted.join(first.withColumnRenamed("value", "context"), "key", "left").select(
+            "key", "n", F.lit(1).alias("word"), base.alias("base"), more.alias("value"))
+        .union(pairs.join(second.withColumnRenamed("value", "context"), "key", "left").select(
+            "key", "n", F.lit(0), F.lit(0.0), F.col("value") + more).toDF(*columns).filter("value <> 0"))
+        .union(triples.select("key", "n", F.lit(0), F.lit(0.0), "value").toDF(*columns).filter("value <> 0")), "values")
+    enough = F.col("n") >= max(LEAST_COUNT, math.ceil(total * hot_share))
+    hot = values.filter(enough).select("key", "base", "value").toArrow()  # at most 1 / hot_share of each kind
+    rest = values.filter(~enough)
+    keys = hot["key"].to_numpy()
+    order = np.argsort(keys)
+    shared = context.broadcast((keys[order], hot["base"].to_numpy()[order], hot["value"].to_numpy()[order],
+                                bit_map(rest.filter("word = 0"))))
     scored = stage(rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
-        _score(context.broadcast(tree)), "doc_id long, row long, held_out boolean, n long, known long, base double, "
-                                         "score double, rare array<long>"), "scored")
-
-    seldom = scored.select("row", F.explode("rare").alias("t")).join(
-        counted.filter(F.col("c") < floor), "t", "left").groupBy("row").agg(
-        F.count("c").alias("more"), F.sum(F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(tree.floor))).alias("part"))
-    part = F.coalesce("part", F.lit(0.0))
-    return scored.join(seldom, "row", "left").select(
-        "doc_id", "held_out", F.col("n").alias("n_tokens"), (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + part).alias("base_score"),
-        (F.col("score") + part).alias("score"))
+        _score(shared), "doc_id long, row long, held_out boolean, n long, known long, base double, "
+                        "value double, asked array<long>"), "scored")
+    found = scored.select("row", F.explode("asked").alias("key")).join(rest, "key").groupBy("row").agg(
+        F.sum("word").alias("words"), F.sum("base").alias("more_base"), F.sum("value").alias("more_value"))
+    known = F.col("known") + F.coalesce("words", F.lit(0))
+    based = (F.col("base") + F.coalesce("more_base", F.lit(0.0))
+             - (F.col("n") - known) * F.lit(math.log10(floor)))
+    return scored.join(found, "row", "left").select(
+        "doc_id", "held_out", F.col("n").alias("n_tokens"), known.alias("n_known"),
+        F.lit(total).cast("long").alias("train_tokens"), based.alias("base_score"),
+        (based + F.col("value") + F.coalesce("more_value", F.lit(0.0))).alias("score"))
