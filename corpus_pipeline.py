@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardweave.llm.decontaminate import drop_contaminated
-from shardweave.llm.joins import bounded, drop_ids
+from shardweave.llm.joins import bounded
 from shardweave.llm.mixture import even_weights, mix
 from shardweave.llm.near_dedup import near_duplicates
 from shardweave.llm.quality import quality
@@ -25,10 +25,25 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, five words to a shingle."""
-    groups = near_duplicates(docs, width=5)
-    gone = stage(groups.filter("not kept").select("doc_id").distinct(), "copies")
-    return drop_ids(docs, gone)
+    """One document of each group of near duplicates, five words to a shingle.
+
+    Rows are told apart by doc_id and text. Of a group the least doc_id stays, a null one last;
+    of rows equal in both, the least by their other columns.
+    """
+    key = row_key().alias("__row_key")
+    groups = stage(near_duplicates(docs.select(row_key().alias("doc_id"), "text"), width=5).select(
+        F.col("doc_id").alias("__row_key"), "component_id").distinct(), "groups")
+    ids = docs.select(key, F.col("doc_id").isNull().alias("none"), "doc_id").distinct()
+    first = groups.join(ids, "__row_key").groupBy("component_id").agg(
+        F.min(F.struct("none", "doc_id", "__row_key")).alias("least"))
+    gone = stage(groups.filter("component_id is not null").join(
+        first.select("least.__row_key"), "__row_key", "left_anti").select("__row_key"), "copies")
+    again = stage(docs.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("__row_key"), "repeated")
+    left = docs.join(bounded(gone), row_key() == F.col("__row_key"), "left_anti")
+    several = bounded(again)
+    one = left.join(several, row_key() == F.col("__row_key"), "left_semi").groupBy(key).agg(
+        F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    return left.join(several, row_key() == F.col("__row_key"), "left_anti").unionByName(one)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

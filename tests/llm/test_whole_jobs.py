@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow.parquet as pq
 import pytest
 
+import corpus_pipeline
 from shardweave.llm.suffix_tree import LEAST_COUNT, SMOOTH, score
 
 DIR = "/root/testdata/sf0.001"
@@ -57,3 +58,13 @@ def test_suffix_tree_keeps_every_frequent_sequence(spark, hot_share):
     got = {r.doc_id: r.score for r in score(spark.read.parquet(f"{DIR}/documents.parquet"), hot_share).collect()}
     want = tree_scores(rows)
     assert np.allclose([got[i] for i in want], list(want.values()), rtol=1e-9)
+
+
+def test_pipeline_keeps_one_row_of_each_group(spark):
+    """Repeated rows, null ids and ids shared by different texts."""
+    a, b, c = (" ".join(f"{x}{i * i % 97}" for i in range(60)) for x in "abc")
+    rows = [(1, a, "en"), (1, a, "en"), (2, b, "en"), (3, a, "en"), (3, c, "en"), (None, b, "en"),
+            (None, "null twice " + c[:40], "en"), (None, "null twice " + c[:40], "de"), (4, "", "en"), (5, None, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = sorted(map(tuple, corpus_pipeline.one_of_each(spark, docs, DIR).collect()), key=repr)
+    assert got == sorted([rows[0], rows[2], rows[4], rows[7], rows[8], rows[9]], key=repr)
