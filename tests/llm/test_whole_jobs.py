@@ -68,3 +68,13 @@ def test_pipeline_keeps_one_row_of_each_group(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     got = sorted(map(tuple, corpus_pipeline.one_of_each(spark, docs, DIR).collect()), key=repr)
     assert got == sorted([rows[0], rows[2], rows[4], rows[7], rows[8], rows[9]], key=repr)
+
+
+def test_suffix_tree_has_rare_contexts_of_a_large_corpus(spark):
+    """Seven occurrences are under a millionth of the training tokens, and count all the same."""
+    ids = sorted(range(40), key=lambda i: zlib.crc32(str(i).encode()) % 7 == 2)
+    rows = [(i, "common " * 400_000 + "seldom follows " * (k < 7)) for k, i in enumerate(ids[:24])]
+    rows.append((ids[-1], "seldom follows"))
+    got = score(spark.createDataFrame(rows, "doc_id long, text string")).filter("held_out").collect()
+    assert [r.doc_id for r in got] == [ids[-1]] and got[0].train_tokens > 8_000_000
+    assert got[0].score > got[0].base_score + 3
