@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from shardweave.llm import oracle_sql
 from shardweave.llm.decontaminate import contamination
+from shardweave.llm.filter_audit import audit_filters
 from shardweave.llm.languages import languages
 from shardweave.llm.licenses import scan_licenses
 from shardweave.llm.mixture import even_weights, mix
@@ -93,3 +95,9 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op8_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(table(configure(spark), sf_dir, "documents"))
+
+
+@query(oracle_sql.FILTER_AUDIT)
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spark = configure(spark)
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
