@@ -38,3 +38,29 @@ SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) A
   CAST(sum(removed) OVER (PARTITION BY part, l) AS BIGINT) AS shapley
 FROM counted
 """
+
+LEXICAL_SEARCH = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+whole AS (SELECT count(*) AS nd, sum(len(terms)) AS nl FROM docs WHERE len(terms) > 0),
+items AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+tf AS (
+  SELECT r, doc_id, n, term, count(*) AS f
+  FROM (SELECT r, doc_id, len(terms) AS n, unnest(terms) AS term FROM docs)
+  WHERE term IN (SELECT term FROM items) GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * any_value(nd) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf, whole GROUP BY term),
+scores AS (
+  SELECT item_id, r, doc_id, CAST(sum(w * ((1000000000 * f) // (1000 * f + 8 * (10 + (90 * n * nd) // nl)))) AS BIGINT) AS score
+  FROM items JOIN tf USING (term) JOIN weights USING (term), whole GROUP BY item_id, r, doc_id),
+ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+  FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""

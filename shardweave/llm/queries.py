@@ -12,6 +12,7 @@ from shardweave.llm import oracle_sql
 from shardweave.llm.decontaminate import contamination
 from shardweave.llm.filter_audit import audit_filters
 from shardweave.llm.languages import languages
+from shardweave.llm.lexical_search import search
 from shardweave.llm.licenses import scan_licenses
 from shardweave.llm.mixture import even_weights, mix
 from shardweave.llm.near_dedup import near_duplicates
@@ -101,3 +102,9 @@ def op8_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark = configure(spark)
     return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query(oracle_sql.LEXICAL_SEARCH)
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spark = configure(spark)
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
