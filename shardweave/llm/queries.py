@@ -11,6 +11,7 @@ import corpus_pipeline
 from shardweave.llm import oracle_sql
 from shardweave.llm.decontaminate import contamination
 from shardweave.llm.filter_audit import audit_filters
+from shardweave.llm.html_extract import extract
 from shardweave.llm.languages import languages
 from shardweave.llm.lexical_search import search
 from shardweave.llm.licenses import scan_licenses
@@ -108,3 +109,8 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark = configure(spark)
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op12_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(configure(spark), sf_dir, "pages"))
