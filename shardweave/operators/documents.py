@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shardweave.functions.split import split_name
 from shardweave.functions.text import doc_key, usable_text
 from shardweave.operators.order import running_total
-from shardweave.sources.config import config_frame
+from shardweave.sources.config import config_frame, entry_key
 
 MERGE_ORDER = ["doc_idx", "src_pos"]
 
@@ -21,8 +21,13 @@ def index_documents(df: DataFrame, key: str) -> DataFrame:
 def within_quota(df: DataFrame, entries: list[dict]) -> DataFrame:
     """Keep the first ``max_docs`` rows of each source; null keeps all.
 
-    The config has a checked size, so it is broadcast; documents do not move.
+    The config has a checked size, so it is broadcast; documents do not move. The quota of a
+    single source is a literal, which Spark pushes down.
     """
+    if len(entries) == 1:
+        own = df.filter(F.col("source_id") == entry_key(entries[0]))
+        quota = entries[0].get("max_docs")
+        return own if quota is None else own.filter(F.col("doc_idx") < quota)
     quotas = config_frame(df.sparkSession, entries).select("source_id", "max_docs")
     return (df.join(F.broadcast(quotas), "source_id")
             .filter(F.col("max_docs").isNull() | (F.col("doc_idx") < F.col("max_docs")))
@@ -60,9 +65,12 @@ def route(df: DataFrame, ratio: float, row_id: str | None = None,
             .withColumn("split", split_name(F.col("doc_key"), ratio, digest)))
 
 
-def route_prefix(df: DataFrame, fraction: float, position: str) -> DataFrame:
-    """First ``int(n * fraction)`` rows by ``position`` are train, the rest val."""
-    total = df.agg(F.count("*").alias("n")).first().n
+def route_prefix(df: DataFrame, fraction: float, position: str, total: int | None = None) -> DataFrame:
+    """First ``int(n * fraction)`` rows by ``position`` are train, the rest val.
+
+    ``total`` is n where the caller knows it, for example from the input before it was numbered.
+    """
+    total = df.count() if total is None else total
     return df.withColumn(
         "split", F.when(F.col(position) < int(total * fraction), "train").otherwise("val"))
 

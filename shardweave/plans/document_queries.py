@@ -10,10 +10,11 @@ from shardweave.operators.joined_text import joined_parts
 from shardweave.operators.order import running_total
 from shardweave.plans.corpus import (
     SQL_DOCS, SQL_ROUTED, SQL_SOURCES, VAL_RATIO, indexed_documents, routed_documents)
+from shardweave.plans.prepare import merged_documents
 from shardweave.plans.registry import query, table
 from shardweave.sources import config as cfg
 from shardweave.sources import scan
-from shardweave.staging import stage
+from shardweave.staging import new_path, stage
 
 # The four text tables as one configured corpus.
 _TABLES = ["documents", "conversations", "pages", "benchmark"]
@@ -59,9 +60,8 @@ FROM (SELECT 'documents' AS source_id, doc_id AS row_id FROM documents
       UNION ALL SELECT 'benchmark', item_id FROM benchmark
       UNION ALL SELECT 'conversations', conv_id * 1000 + turn FROM conversations)""")
 def file_order_index(spark, sf_dir):
-    rows = scan.scan_sources(spark, _entries(sf_dir), file_order=True)
     turn = F.col("conv_id") * 1000 + F.col("turn")
-    return scan.index_by_file(rows).select(
+    return scan.numbered_sources(spark, _entries(sf_dir)).select(
         "source_id", "doc_idx", F.coalesce("doc_id", "page_id", "item_id", turn).alias("row_id"))
 
 
@@ -200,6 +200,58 @@ def quota_filter(spark, sf_dir):
     return _kept(spark, sf_dir).select("source_id", "doc_idx", "doc_id")
 
 
+def _by_source(spark, sf_dir, files=6):
+    """Documents as a folder of files for each source, doc_id rising from file to file."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return stage(docs.repartitionByRange(files, "doc_id").sortWithinPartitions("source", "doc_id"),
+                 "by-source", ["source"]).staged_at
+
+
+@query(f"WITH {_SQL_QUOTA} SELECT source_id, doc_idx, doc_id FROM kept")
+def quota_pruned(spark, sf_dir):
+    root = _by_source(spark, sf_dir)
+    entries = [{**e, "path": f"{root}/source={e['path']}", "split": ""} for e in _quota_entries(spark, sf_dir)]
+    return scan.numbered_sources(spark, entries).select("source_id", "doc_idx", "doc_id")
+
+
+@query("""
+SELECT lang || '/' || split AS source_id, doc_idx, doc_id FROM (
+  SELECT lang, split, doc_id, row_number() OVER (PARTITION BY lang, split ORDER BY doc_id) - 1 AS doc_idx
+  FROM (SELECT *, CASE WHEN substr(sha256(doc_id::VARCHAR), 1, 1) < '4' THEN 'test' ELSE 'train' END AS split
+        FROM documents))""")
+def scan_splits(spark, sf_dir):
+    split = F.when(F.substring(F.sha2(F.col("doc_id").cast("string"), 256), 1, 1) < "4", "test").otherwise("train")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("lang").alias("name"), split.alias("split"))
+    root = stage(docs.repartitionByRange(4, "doc_id").sortWithinPartitions("name", "split", "doc_id"),
+                 "by-split", ["name", "split"]).staged_at
+    names = [r.name for r in docs.select("name").distinct().limit(cfg.MAX_SOURCES).collect()]
+    entries = [{"path": root, "name": n, "split": s, "id": f"{n}/{s}"} for n in sorted(names) for s in ("test", "train")]
+    return scan.numbered_sources(spark, entries).select("source_id", "doc_idx", "doc_id")
+
+
+@query(f"""
+WITH {_SQL_QUOTA}, benches AS (
+  SELECT row_number() OVER (ORDER BY item_id) - 1 AS doc_idx, item_id, text FROM benchmark)
+SELECT source_id, src_pos, doc_idx, doc_id::VARCHAR AS id, text FROM kept
+UNION ALL SELECT 'benchmark', (SELECT count(*) FROM sources), doc_idx, item_id::VARCHAR, text FROM benches
+WHERE doc_idx < 25""")
+def prepare_merged(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "id")
+    root = stage(docs.select("id", "text", "source").repartitionByRange(6, "id").sortWithinPartitions("source", "id"),
+                 "by-source", ["source"]).staged_at
+    entries = [{**e, "path": f"{root}/source={e['path']}", "split": ""} for e in _quota_entries(spark, sf_dir)]
+    for entry in entries[::2]:  # every other source as lines of JSON, in ranges so short that files have several
+        path = new_path(spark, "json-source")
+        (spark.read.parquet(entry["path"]).select("id", F.col("text").alias("content"))
+         .repartitionByRange(3, "id").sortWithinPartitions("id").write.json(path))
+        entry.update(path=path, format="json", schema="id long, content string", options={"rangeBytes": "20000"})
+    bench = new_path(spark, "bench")
+    table(spark, sf_dir, "benchmark").withColumnRenamed("item_id", "id").repartitionByRange(3, "id").sortWithinPartitions(
+        "id").write.json(bench)
+    entries.append({"path": bench, "split": "", "id": "benchmark", "format": "json", "max_docs": 25})
+    return merged_documents(spark, entries)
+
+
 @query(f"WITH {SQL_DOCS} SELECT source_id, src_pos, doc_idx, doc_id FROM docs")
 def doc_index(spark, sf_dir):
     return indexed_documents(spark, sf_dir).select("source_id", "src_pos", "doc_idx", "doc_id")
@@ -244,8 +296,8 @@ SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY doc_id) - 1
                     THEN 'train' ELSE 'val' END AS split
 FROM documents""")
 def prefix_split(spark, sf_dir):
-    docs = running_total(table(spark, sf_dir, "documents").select("doc_id"), ["doc_id"])
-    return ops.route_prefix(docs, 0.9, "position").select("doc_id", "split")
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    return ops.route_prefix(running_total(docs, ["doc_id"]), 0.9, "position", docs.count()).select("doc_id", "split")
 
 
 _SQL_SHUFFLED = """

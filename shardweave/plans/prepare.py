@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from shardweave.functions.split import check_ratio
 from shardweave.operators import documents, pack, stats
 from shardweave.operators.bpe_encode import id_dtype
-from shardweave.operators.order import running_total
 from shardweave.operators.tokenizers import BpeTokenizer, Tokenizer
 from shardweave.sources import artifacts, scan
 from shardweave.sources.binshards import write_shards_as_bins
@@ -31,12 +30,10 @@ class Prepared:
 def merged_documents(spark: SparkSession, entries: list[dict]) -> DataFrame:
     """``(source_id, src_pos, doc_idx, id, text)`` of all sources, quotas applied.
 
-    Rows are numbered in file order, which needs no shuffle of documents.
+    Rows are numbered in file order, which needs no shuffle of documents; files past a
+    quota are not read.
     """
-    rows = scan.index_by_file(
-        scan.spread(scan.scan_sources(spark, entries, file_order=True)))
-    kept = documents.within_quota(rows, entries)
-    texts = documents.extract(kept)
+    texts = documents.extract(scan.numbered_sources(spark, entries))
     own_id = F.col("id") if "id" in texts.columns else F.lit(None).cast("string")
     return texts.select("source_id", "src_pos", "doc_idx", own_id.alias("id"), "text")
 
@@ -57,7 +54,7 @@ def prepare_corpus(spark: SparkSession, entries: list[dict], out: str,
     if fit_on not in ("all", "train"):
         raise ValueError(f"fit_on must be 'all' or 'train', got {fit_on}")
     tokenizer = tokenizer or BpeTokenizer()
-    docs = documents.route(merged_documents(spark, entries), val_ratio, "id", digest)
+    docs = scan.spread(documents.route(merged_documents(spark, entries), val_ratio, "id", digest))
     if reuse_vocabulary:
         tokenizer.load(spark, f"{out}/{VOCABULARY}")
     else:
@@ -91,11 +88,10 @@ def prepare_single(spark: SparkSession, path: str, out: str, order: str | None =
     by default rows count in file order.
     """
     tokenizer = tokenizer or BpeTokenizer()
-    entries = [{"path": path, "split": "train"}]
-    rows = scan.scan_sources(spark, entries, file_order=True)
-    placed = (running_total(rows, [order], out="position") if order
-              else scan.index_by_file(rows, out="position"))
-    docs = documents.route_prefix(placed.select("position", "text"), train_fraction, "position")
+    entry = {"path": path, "split": "", "order": order}
+    total = scan.scan_source(spark, entry, 0).count()
+    placed = scan.numbered_source(spark, entry, out="position").select("position", "text")
+    docs = scan.spread(documents.route_prefix(placed, train_fraction, "position", total))
     tokenizer.fit(docs.filter("split = 'train'"))
     tokenizer.save(spark, f"{out}/{VOCABULARY}")
     dtype = id_dtype(tokenizer.vocab_size)

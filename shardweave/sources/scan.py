@@ -2,40 +2,50 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardweave.operators.order import running_total
 from shardweave.sources.config import check_entries, entry_key
+from shardweave.sources.layout import source_path
+from shardweave.sources.ordered import numbered_source
 
 # Columns that may hold the text.
 TEXT_COLUMNS = ("text", "content", "document")
-# Above this many files the per-file table is no longer broadcast.
-MAX_BROADCAST_FILES = 50_000
+#: Sources whose files are counted at the same time.
+PLANNERS = 8
 
 
-def scan_source(spark: SparkSession, entry: dict, src_pos: int,
-                file_order: bool = False) -> DataFrame:
-    """One configured source, tagged. ``format`` and ``options`` are optional."""
-    reader = spark.read.format(entry.get("format", "parquet"))
-    df = reader.options(**entry.get("options", {})).load(entry["path"])
+def _tagged(df: DataFrame, entry: dict, src_pos: int) -> DataFrame:
     if "id" in df.columns:  # ids may be of any type, and differ between sources
         df = df.withColumn("id", F.col("id").cast("string"))
-    tags = [F.lit(entry_key(entry)).alias("source_id"), F.lit(src_pos).alias("src_pos")]
-    if file_order:
-        tags += [F.col("_metadata.file_path").alias("file"),
-                 F.col("_metadata.row_index").alias("file_row")]
-    return df.select("*", *tags)
+    return df.select("*", F.lit(entry_key(entry)).alias("source_id"), F.lit(src_pos).alias("src_pos"))
 
 
-def scan_sources(spark: SparkSession, entries: list[dict],
-                 file_order: bool = False) -> DataFrame:
+def scan_source(spark: SparkSession, entry: dict, src_pos: int) -> DataFrame:
+    """One configured source, tagged. ``format`` and ``options`` are optional."""
+    reader = spark.read.format(entry.get("format", "parquet"))
+    if "schema" in entry:
+        reader = reader.schema(entry["schema"])
+    return _tagged(reader.options(**entry.get("options", {})).load(source_path(spark, entry)), entry, src_pos)
+
+
+def scan_sources(spark: SparkSession, entries: list[dict]) -> DataFrame:
     """All configured sources as one bag; columns a source lacks are null."""
-    parts = [scan_source(spark, e, i, file_order)
-             for i, e in enumerate(check_entries(entries))]
-    return concat(_alike(parts))
+    return concat(_alike([scan_source(spark, e, i) for i, e in enumerate(check_entries(entries))]))
+
+
+def numbered_sources(spark: SparkSession, entries: list[dict], out: str = "doc_idx") -> DataFrame:
+    """All configured sources, each up to its quota, with every row's number in its source.
+
+    Counting a source's files takes a few small jobs; those of several sources run side by side.
+    """
+    check_entries(entries)
+    with ThreadPoolExecutor(PLANNERS) as pool:
+        parts = list(pool.map(lambda e: numbered_source(spark, e, out), entries))
+    return concat(_alike([_tagged(part, e, i) for i, (part, e) in enumerate(zip(parts, entries))]))
 
 
 def _alike(parts: list[DataFrame]) -> list[DataFrame]:
@@ -71,28 +81,6 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
 
 
-def index_by_file(df: DataFrame, out: str = "doc_idx") -> DataFrame:
-    """0-based row index per source in file order, without shuffling documents.
-
-    Parquet gives each row its place in its file, so only the row count of every
-    file is needed: rows before a file + place in the file. ``df`` comes from a
-    scan with ``file_order``. With very many files the rows are ranked instead.
-    """
-    files = (df.groupBy("source_id", "file")
-             .agg((F.max("file_row") + 1).alias("file_rows")))
-    known = files.limit(MAX_BROADCAST_FILES + 1).count()
-    if known > MAX_BROADCAST_FILES:
-        return running_total(df, ["file", "file_row"], within=["source_id"], out=out)
-    earlier = (Window.partitionBy("source_id").orderBy("file")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    starts = files.select(
-        "source_id", "file",
-        F.coalesce(F.sum("file_rows").over(earlier), F.lit(0)).alias("rows_before"))
-    return (df.join(F.broadcast(starts), ["source_id", "file"])
-            .withColumn(out, F.col("rows_before") + F.col("file_row"))
-            .drop("rows_before"))
-
-
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
     """Only the text column of a saved table."""
     return spark.read.parquet(path).select("text")

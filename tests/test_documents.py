@@ -130,7 +130,7 @@ def test_file_order_index(spark, tmp_path):
     spark.range(0, 90, 1, 4).withColumnRenamed("id", "n").write.parquet(f"{tmp_path}/a")
     spark.range(0, 7, 1, 2).withColumnRenamed("id", "n").write.parquet(f"{tmp_path}/b")
     entries = [{"path": f"{tmp_path}/{x}", "split": "train", "id": x} for x in "ab"]
-    rows = scan.index_by_file(scan.scan_sources(spark, entries, file_order=True)).collect()
+    rows = scan.numbered_sources(spark, entries).collect()
     for x, size in (("a", 90), ("b", 7)):
         mine = sorted((r.doc_idx, r.n) for r in rows if r.source_id == x)
         assert [i for i, _ in mine] == list(range(size))
