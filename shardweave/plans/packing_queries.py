@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 from shardweave.operators import char_vocab, pack, stats, windows
 from shardweave.operators.documents import extract, route, route_prefix
 from shardweave.operators.order import running_total
+from shardweave.operators.tokenizers import tokenizer
 from shardweave.plans.corpus import (
     SHARD_SIZE, SQL_CHARS, SQL_ENCODED, SQL_OFFSETS, SQL_ROUTED, VAL_RATIO, char_encoded,
     char_list, routed_documents, texts, unit_sql)
+from shardweave.plans.prepare import VOCABULARY, prepare_corpus, prepare_single
 from shardweave.plans.registry import query, table
+from shardweave.sources import binshards
 from shardweave.sources.config import config_frame, config_from_column
-from shardweave.staging import stage
+from shardweave.staging import new_path, stage
 
 BLOCK = 64
 
@@ -128,8 +131,8 @@ def manifest_sources(spark, sf_dir):
 
 @query(f"""
 WITH {_SQL_COMPLETE}, listed AS (
-  SELECT split, list(json_object('path', source_id, 'split', 'train', 'source_id', source_id,
-                                 'encoded_texts', texts, 'encoded_tokens', tokens)
+  SELECT split, list(json_object('path', source_id, 'split', 'train', 'id', source_id,
+                                 'source_id', source_id, 'encoded_texts', texts, 'encoded_tokens', tokens)
                      ORDER BY src_pos) AS datasets
   FROM complete GROUP BY split)
 SELECT split, json_object(
@@ -264,6 +267,60 @@ def pack_single(spark, sf_dir):
     ).select("split", "block", F.size("ids").cast("long").alias("tokens"), text_of("ids"))
 
 
+# ---- export
+
+_SQL_BLOCKS = """
+SELECT split, shard_idx, block, array_to_string(toks, ' ') AS tokens FROM (
+  SELECT split, (p // {size})::INTEGER AS shard_idx, (p % {size}) // 1024 AS block, list(tok ORDER BY p) AS toks
+  FROM stream GROUP BY ALL)"""
+
+
+@query(f"WITH {SQL_OFFSETS} " + _SQL_BLOCKS.format(size=SHARD_SIZE))
+def bin_round_trip(spark, sf_dir):
+    path = new_path(spark, "bins")
+    binshards.write_shards_as_bins(packed(spark, sf_dir), path)
+    files = pack.shard_list(stats.split_totals(_complete(spark, sf_dir)), SHARD_SIZE)
+    listed = files.select("split", "shard_idx", F.concat_ws("/", F.lit(path), "split", "file").alias("path"))
+    return binshards.read_shards(spark, listed).select("split", "shard_idx", "block", text_of("tokens"))
+
+
+@query(f"""
+WITH routed AS (
+  SELECT CASE WHEN substr(sha256('documents:' || doc_id), 1, 16) < '{int(VAL_RATIO * 2**64):016x}'
+              THEN 'val' ELSE 'train' END AS split, length(text) + 1 AS span FROM documents),
+totals AS (SELECT split, sum(span)::BIGINT AS tokens FROM routed GROUP BY split)
+SELECT split, i::INTEGER AS shard_idx, format('{{}}_{{:03d}}.bin', split, i) AS file, 'uint16' AS dtype,
+       least({SHARD_SIZE}, tokens - i * {SHARD_SIZE})::BIGINT AS length
+FROM (SELECT *, unnest(range(ceil(tokens / {SHARD_SIZE})::BIGINT)) AS i FROM totals)""")
+def prepared_catalog(spark, sf_dir):
+    docs = stage(table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "id"), "documents").staged_at
+    out = new_path(spark, "prepared")
+    prepare_corpus(spark, [{"path": docs, "split": "train", "id": "documents"}], out, tokenizer("char"),
+                   VAL_RATIO, SHARD_SIZE)
+    return binshards.prepared_catalog(spark, out).select(
+        "split", "shard_idx", F.element_at(F.split("path", "/"), -1).alias("file"), "dtype", "length")
+
+
+@query(f"""
+WITH {SQL_CHARS}, d AS (
+  SELECT doc_id, text, CASE WHEN row_number() OVER (ORDER BY doc_id) - 1
+           < floor((SELECT count(*) FROM documents) * 0.9) THEN 'train' ELSE 'val' END AS split
+  FROM documents),
+one AS (SELECT split, string_agg(text || chr(1), '' ORDER BY doc_id) AS t FROM d GROUP BY split),
+stream AS (
+  SELECT split, p, coalesce(id, (SELECT max(id) + 1 FROM chars)) AS tok
+  FROM (SELECT split, unnest(string_split(t, '')) AS ch,
+               generate_subscripts(string_split(t, ''), 1) - 1 AS p FROM one)
+  LEFT JOIN chars USING (ch) WHERE ch <> '')
+""" + _SQL_BLOCKS.format(size=SHARD_SIZE))
+def prepare_single_bins(spark, sf_dir):
+    out = new_path(spark, "single")
+    tokenizer("char").fit(texts(spark, sf_dir)).save(spark, f"{out}/{VOCABULARY}")
+    prepare_single(spark, f"{sf_dir}/documents.parquet", out, "doc_id", tokenizer("char"),
+                   part_tokens=SHARD_SIZE, reuse_vocabulary=True)
+    return binshards.read_prepared(spark, out).select("split", "shard_idx", "block", text_of("tokens"))
+
+
 # ---- windows and batches
 
 _SQL_SHARDS = SQL_OFFSETS + f""",

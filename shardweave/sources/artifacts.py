@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shardweave.operators import char_vocab
 from shardweave.operators.bpe_train import Vocabulary
+from shardweave.sources.storage import storage_of
 
 # Vocabularies live on the driver; a larger table is an error, never cut.
 MAX_TOKENS = 4_000_000
@@ -64,18 +65,17 @@ def load_characters(spark: SparkSession, path: str) -> list[str]:
 
 def write_json(text: str, path: str) -> None:
     """One small JSON document, on any storage Arrow knows."""
-    from pyarrow import fs
-
-    storage, target = fs.FileSystem.from_uri(path)
+    storage, target = storage_of(path)
     storage.create_dir(target.rsplit("/", 1)[0], recursive=True)
     with storage.open_output_stream(target) as out:
         out.write(json.dumps(json.loads(text), ensure_ascii=False, indent=2).encode())
 
 
 def save_manifests(root: DataFrame, splits: DataFrame, path: str) -> None:
-    write_json(root.first().manifest, f"{path}/meta.json")
+    """Manifests of the splits, then that of the whole folder: once it is there, all is."""
     for row in splits.collect():
         write_json(row.manifest, f"{path}/{row.split}/meta.json")
+    write_json(root.first().manifest, f"{path}/meta.json")
 
 
 def prepared_files(spark: SparkSession, path: str) -> tuple[DataFrame, str]:

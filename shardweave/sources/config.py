@@ -55,12 +55,13 @@ def load_config(spark: SparkSession, path: str) -> list[dict]:
 
 
 def config_frame(spark: SparkSession, entries: list[dict]) -> DataFrame:
-    """Config as a table, in config order, with ``src_pos`` and ``source_id``."""
+    """Config as a table, in config order, with ``src_pos``, ``source_id`` and the whole ``entry`` as JSON."""
     rows = [
-        (e.get("id"), e["path"], e.get("name"), e["split"], e.get("max_docs"), i)
+        (e.get("id"), e["path"], e.get("name"), e["split"], e.get("max_docs"), i,
+         json.dumps(e, ensure_ascii=False, separators=(",", ":")))
         for i, e in enumerate(check_entries(entries))
     ]
-    return with_source_id(spark.createDataFrame(rows, CONFIG_SCHEMA + ", src_pos int"))
+    return with_source_id(spark.createDataFrame(rows, CONFIG_SCHEMA + ", src_pos int, entry string"))
 
 
 def with_source_id(config: DataFrame) -> DataFrame:

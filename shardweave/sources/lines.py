@@ -16,6 +16,8 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from shardweave.sources.storage import storage_of
+
 RANGE_BYTES = 64 << 20
 CHUNK_BYTES = 4 << 20
 # Compressed files, by ending. They have no ranges and are read from their start.
@@ -32,16 +34,6 @@ class Range(InputPartition):
     end: int | None
 
 
-def _storage(path: str):
-    from pyarrow import fs
-
-    if "://" not in path and not path.startswith("/"):
-        path = path.replace("file:", "", 1) if path.startswith("file:") else path
-    elif path.startswith("file:/") and not path.startswith("file://"):
-        path = "file://" + path[len("file:"):]
-    return fs.FileSystem.from_uri(path)
-
-
 def list_files(path: str) -> list[tuple[str, int]]:
     """(file, bytes) under a folder, or of one file, or of a pattern's files, by name.
 
@@ -53,7 +45,7 @@ def list_files(path: str) -> list[tuple[str, int]]:
 
     folder, _, last = path.rpartition("/")
     pattern = last if any(c in last for c in "*?[") else None
-    storage, root = _storage(folder.replace("\\", "") if pattern else path)
+    storage, root = storage_of(folder.replace("\\", "") if pattern else path)
     info = storage.get_file_info(root)
     if info.type == fs.FileType.NotFound:
         raise FileNotFoundError(path)
@@ -134,7 +126,7 @@ class LinesReader(DataSourceReader):
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
         if not partition.file:
             return
-        storage, path = _storage(partition.file)
+        storage, path = storage_of(partition.file)
         codec = _codec(path)
         with storage.open_input_file(path) if codec is None else storage.open_input_stream(
                 path, compression=codec) as stream:
