@@ -12,6 +12,9 @@ SHARD_SIZE = 1_000_000
 # Pieces never cross a multiple of this many tokens inside their shard, so any
 # window can find its pieces by an equi-join on (shard, block).
 BLOCK_TOKENS = 1024
+# Consecutive shards in one folder of a stored table: about a billion tokens of full shards.
+FOLDER_SHARDS = 1024
+FOLDER = "shard_folder"
 
 
 def token_offsets(encoded: DataFrame, order: list[str] | None = None,
@@ -69,19 +72,35 @@ def shard_list(totals: DataFrame, shard_size: int = SHARD_SIZE) -> DataFrame:
             .withColumn("file", shard_names(F.col("split"), F.col("shard_idx"))))
 
 
+def planned_lengths(totals: DataFrame, shard_size: int = SHARD_SIZE) -> DataFrame:
+    """``(split, shard_idx, file, length)`` from ``(split, tokens)`` totals: nothing is cut to know it."""
+    listed = shard_list(totals.select("split", "tokens"), shard_size).join(
+        F.broadcast(totals.select("split", "tokens")), "split")  # a row per split
+    size = F.lit(shard_size).cast("long")
+    return listed.select("split", "shard_idx", "file", F.least(
+        size, F.col("tokens") - F.col("shard_idx") * size).alias("length"))
+
+
 def shard_lengths(pieces: DataFrame) -> DataFrame:
+    """Lengths as found in stored pieces."""
     return (pieces.groupBy("split", "shard_idx")
             .agg(F.sum(F.size("tokens").cast("long")).alias("length")))
 
 
-def write_shards(pieces: DataFrame, path: str) -> None:
-    """Parquet table of shards.
+def write_shards(pieces: DataFrame, path: str, folder_shards: int = FOLDER_SHARDS) -> None:
+    """Parquet table of shards, a folder for each ``folder_shards`` consecutive ones of a split.
 
     Buckets of the offset step hold consecutive shards, so no shuffle is added; the
-    sort gives row groups narrow ``shard_idx`` ranges for pruning.
+    sort gives row groups narrow ``shard_idx`` ranges for pruning. Readers of a few shards open
+    only their folders.
     """
-    (pieces.sortWithinPartitions("split", "shard_idx", "start")
-     .write.partitionBy("split").mode("errorifexists").parquet(path))
+    (pieces.withColumn(FOLDER, shard_folder(F.col("shard_idx"), folder_shards))
+     .sortWithinPartitions("split", FOLDER, "shard_idx", "start")
+     .write.partitionBy("split", FOLDER).mode("errorifexists").parquet(path))
+
+
+def shard_folder(shard_idx: Column, folder_shards: int = FOLDER_SHARDS) -> Column:
+    return _div(shard_idx, F.lit(folder_shards)).cast("int")
 
 
 def _div(a: Column, b: Column) -> Column:

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from shardweave.functions.arrays import bind
 from shardweave.functions.text import unit_hash
 from shardweave.operators.order import running_total
-from shardweave.operators.pack import BLOCK_TOKENS
+from shardweave.operators.pack import BLOCK_TOKENS, FOLDER, FOLDER_SHARDS, shard_folder
 
 BATCHES_PER_SHARD = 64
+#: Requests for blocks that are broadcast at a time.
+PLAN_ROWS = 1_000_000
 
 
 def _positive(name: str, value: int) -> int:
@@ -46,7 +48,7 @@ def shard_weights(windows: DataFrame) -> DataFrame:
     """Share of all windows of the split held by each usable shard."""
     usable = windows.filter("valid_starts > 0")
     totals = usable.groupBy("split").agg(F.sum("valid_starts").alias("split_starts"))
-    return (usable.join(totals, "split")
+    return (usable.join(F.broadcast(totals), "split")  # a row per split
             .withColumn("weight", F.col("valid_starts") / F.col("split_starts"))
             .drop("split_starts"))
 
@@ -144,24 +146,39 @@ def batch_plan(windows: DataFrame, batches: int, batch: int, seed: int,
                        F.posexplode(starts).alias("slot", "start"))
 
 
-def batch_windows(plan: DataFrame, pieces: DataFrame, block: int,
-                  block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+def batch_windows(plan: DataFrame, pieces: DataFrame, block: int, block_tokens: int = BLOCK_TOKENS,
+                  folder_shards: int = FOLDER_SHARDS, plan_rows: int = PLAN_ROWS) -> DataFrame:
     """Tokens ``x`` and ``y`` of every planned window.
 
     Each window asks for the few blocks it touches and meets their pieces by an
-    equi-join; unplanned tokens are never exploded.
+    equi-join. The plan is broadcast, ``plan_rows`` requests at a time, so stored tokens do not
+    move; of a table written by ``write_shards`` with ``folder_shards`` only the folders of drawn
+    shards are opened.
     """
     step = F.lit(block_tokens).cast("long")
     at = F.col("start")
-    wanted = plan.select("batch_idx", "slot", "split", "shard_idx", at, F.explode(F.sequence(
-        _div(at, step), _div(at + block, step))).alias("block"))
-    stored = pieces.select("split", "shard_idx", "block",
-                           F.col("start").alias("piece_start"), "tokens")
+    batches, rows = plan.agg(F.max("batch_idx"), F.count("*")).first()
+    requests = (rows or 0) * (-(-block // block_tokens) + 1)  # the most blocks a window can touch
+    parts = max(1, -(-requests // plan_rows))
+    each = -(-((batches or 0) + 1) // parts)
+    keys = ["split", "shard_idx", "block"]
+    stored = pieces.select(*keys, F.col("start").alias("piece_start"), "tokens")
+    if FOLDER in pieces.columns:
+        keys = ["split", FOLDER, "shard_idx", "block"]
+        stored = pieces.select(*keys, F.col("start").alias("piece_start"), "tokens")
+    found = None
+    for part in range(parts):
+        # The comparison tells Spark that the plan chooses among the folders.
+        some = plan.filter((F.col("batch_idx") >= part * each) & (F.col("batch_idx") < (part + 1) * each))
+        wanted = some.select(
+            "batch_idx", "slot", "split", "shard_idx", shard_folder(F.col("shard_idx"), folder_shards).alias(FOLDER),
+            at, F.explode(F.sequence(_div(at, step), _div(at + block, step))).alias("block"))
+        met = stored.join(F.broadcast(wanted), keys)
+        found = met if found is None else found.unionByName(met)
     low = F.greatest(at, F.col("piece_start"))
     high = F.least(at + block + 1, F.col("piece_start") + F.size("tokens"))
-    parts = (wanted.join(stored, ["split", "shard_idx", "block"]).filter(low < high)
-             .withColumn("part", F.slice("tokens", (low - F.col("piece_start") + 1).cast("int"),
-                                         (high - low).cast("int"))))
+    parts = found.filter(low < high).withColumn("part", F.slice(
+        "tokens", (low - F.col("piece_start") + 1).cast("int"), (high - low).cast("int")))
     ordered = F.array_sort(F.collect_list(F.struct("piece_start", "part")))
     tokens = F.flatten(F.transform(ordered, lambda p: p["part"]))
     return (parts.groupBy("batch_idx", "slot", "split", "shard_idx", "start")

@@ -236,10 +236,7 @@ SELECT split, i::INTEGER AS shard_idx, format('{{}}_{{:03d}}.bin', split, i) AS
        least({SHARD_SIZE}, tokens - i * {SHARD_SIZE})::BIGINT AS length
 FROM (SELECT *, unnest(range(greatest(1, ceil(tokens / {SHARD_SIZE}))::BIGINT)) AS i FROM totals)""")
 def shard_layout(spark, sf_dir):
-    found = pack.shard_lengths(packed(spark, sf_dir))
-    files = pack.shard_list(stats.split_totals(_complete(spark, sf_dir)), SHARD_SIZE)
-    return files.join(found, ["split", "shard_idx"], "left").select(
-        "split", "shard_idx", "file", F.coalesce("length", F.lit(0).cast("long")).alias("length"))
+    return pack.planned_lengths(stats.split_totals(_complete(spark, sf_dir)), SHARD_SIZE)
 
 
 @query(f"""
@@ -330,9 +327,15 @@ lengths AS (
 wins AS (SELECT *, greatest(length - {BLOCK}, 0) AS valid_starts FROM lengths)"""
 
 
+def _lengths(spark, sf_dir):
+    """Shards that hold tokens, from the totals of the splits."""
+    totals = stats.split_totals(stats.source_stats(_counted(spark, sf_dir)))
+    return pack.planned_lengths(totals, SHARD_SIZE).drop("file").filter("length > 0")
+
+
 @query(f"WITH {_SQL_SHARDS} SELECT * FROM wins")
 def shard_windows(spark, sf_dir):
-    return windows.shard_windows(pack.shard_lengths(packed(spark, sf_dir)), BLOCK)
+    return windows.shard_windows(_lengths(spark, sf_dir), BLOCK)
 
 
 # A block longer than the last shard of each split leaves some shards unusable.
@@ -343,7 +346,7 @@ WITH {SQL_OFFSETS}, lengths AS (
 SELECT *, length - 49000 AS valid_starts FROM lengths WHERE length > 49000""")
 def valid_shards(spark, sf_dir):
     return windows.usable_shards(
-        windows.shard_windows(pack.shard_lengths(packed(spark, sf_dir)), 49_000))
+        windows.shard_windows(_lengths(spark, sf_dir), 49_000))
 
 
 @query(f"""
@@ -351,7 +354,7 @@ WITH {_SQL_SHARDS}
 SELECT split, shard_idx, round(valid_starts / sum(valid_starts) OVER (PARTITION BY split), 9) AS weight
 FROM wins WHERE valid_starts > 0""")
 def shard_weights(spark, sf_dir):
-    found = windows.shard_windows(pack.shard_lengths(packed(spark, sf_dir)), BLOCK)
+    found = windows.shard_windows(_lengths(spark, sf_dir), BLOCK)
     return windows.shard_weights(found).select(
         "split", "shard_idx", F.round("weight", 9).alias("weight"))
 
@@ -401,6 +404,7 @@ def doc_random_window(spark, sf_dir):
 
 
 BATCHES, BATCH, PER_SHARD, SEED = 40, 8, 4, 11
+FOLDER_SHARDS = 4
 
 _SQL_PLAN = _SQL_SHARDS + f""",
 line AS (
@@ -430,15 +434,15 @@ plan AS (
   FROM starts)"""
 
 
-def _plan(found):
-    usable = windows.shard_windows(pack.shard_lengths(found), BLOCK)
+def _plan(spark, sf_dir):
+    usable = windows.shard_windows(_lengths(spark, sf_dir), BLOCK)
     return windows.batch_plan(stage(usable.filter("split = 'train'"), "lengths"),
                               BATCHES, BATCH, SEED, PER_SHARD)
 
 
 @query(f"WITH {_SQL_PLAN} SELECT batch_idx, slot, shard_idx, start FROM plan")
 def batch_plan(spark, sf_dir):
-    return _plan(packed(spark, sf_dir)).select("batch_idx", "slot", "shard_idx", "start")
+    return _plan(spark, sf_dir).select("batch_idx", "slot", "shard_idx", "start")
 
 
 @query(f"""
@@ -452,8 +456,10 @@ WITH {_SQL_PLAN}, toks AS (
 SELECT batch_idx, slot, shard_idx, start, array_to_string(w[1:{BLOCK}], ' ') AS x,
        array_to_string(w[2:{BLOCK + 1}], ' ') AS y FROM toks""")
 def batch_windows(spark, sf_dir):
-    pieces = stage(packed(spark, sf_dir), "shards", ["split"])
-    found = windows.batch_windows(_plan(pieces), pieces, BLOCK)
+    path = new_path(spark, "shards")
+    pack.write_shards(packed(spark, sf_dir), path, FOLDER_SHARDS)
+    plan = stage(_plan(spark, sf_dir), "plan")
+    found = windows.batch_windows(plan, spark.read.parquet(path), BLOCK, folder_shards=FOLDER_SHARDS)
     return found.select("batch_idx", "slot", "shard_idx", "start", text_of("x"), text_of("y"))
 
 
