@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import bisect
+import hashlib
+import itertools
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shardweave.functions.arrays import bind
@@ -13,6 +17,7 @@ from shardweave.operators.pack import BLOCK_TOKENS, FOLDER, FOLDER_SHARDS, shard
 BATCHES_PER_SHARD = 64
 #: Requests for blocks that are broadcast at a time.
 PLAN_ROWS = 1_000_000
+MAX_BATCH = 100_000
 
 
 def _positive(name: str, value: int) -> int:
@@ -186,22 +191,45 @@ def batch_windows(plan: DataFrame, pieces: DataFrame, block: int, block_tokens:
             .select("batch_idx", "slot", "shard_idx", "start", *_pair(F.col("_w"), block)))
 
 
+def draw_bucket(key: Column) -> Column:
+    """The bucket of a key, by hash, so that buckets are of about one size."""
+    return F.conv(F.substring(F.sha2(key.cast("string"), 256), 1, 4), 16, 10).cast("int")
+
+
+def _unit(key: str) -> float:
+    """``unit_hash`` on the driver."""
+    return int(hashlib.sha256(key.encode()).hexdigest()[:13], 16) / 2**52
+
+
 def uniform_batch(docs: DataFrame, key: str, block: int, batch: int, seed: int) -> DataFrame:
     """One batch drawn with replacement from the long enough documents.
 
-    Only keys are numbered; the ``batch`` drawn keys then fetch their documents.
+    Documents count in the order of (hash bucket, key), but no document is numbered: counts of the
+    buckets tell which bucket a drawn number falls into, and only the keys of drawn buckets are ranked.
+    ``batch`` is a parameter of at most ``MAX_BATCH``; the draws are a list of that size.
     """
-    keys = running_total(long_enough(docs, block).select(key), [key], out="doc_no")
-    total = long_enough(docs, block).count()
-    if total == 0:
+    if _positive("batch", batch) > MAX_BATCH:
+        raise ValueError(f"a batch has at most {MAX_BATCH} slots, got {batch}")
+    pool = long_enough(docs, block)
+    # At most 65,536 rows, one per bucket.
+    counts = sorted((r.bucket, r.n) for r in pool.groupBy(draw_bucket(F.col(key)).alias("bucket")).agg(
+        F.count("*").alias("n")).collect())
+    ends = list(itertools.accumulate(n for _, n in counts))
+    if not ends:
         raise ValueError("no document is long enough for one window")
-    slot = F.col("slot").cast("string")
-    pick = unit_hash(F.concat_ws(":", F.lit(f"{seed}:doc"), slot))
-    draws = (docs.sparkSession.range(_positive("batch", batch)).withColumnRenamed("id", "slot")
-             .withColumn("doc_no", F.floor(pick * F.lit(total)).cast("long"))
-             .join(keys, "doc_no").select("slot", key))
-    at = unit_hash(F.concat_ws(":", F.lit(f"{seed}:start"), slot))
-    drawn = (docs.join(F.broadcast(draws), key)  # exactly ``batch`` rows
+    slots = []
+    for slot in range(batch):
+        at = int(_unit(f"{seed}:doc:{slot}") * ends[-1])
+        i = bisect.bisect_right(ends, at)
+        slots.append((slot, counts[i][0], at - (ends[i] - counts[i][1])))
+    spark = docs.sparkSession
+    draws = F.broadcast(spark.createDataFrame(slots, "slot long, bucket int, place long"))
+    drawn = pool.select(key, draw_bucket(F.col(key)).alias("bucket")).filter(
+        F.col("bucket").isin(sorted({b for _, b, _ in slots})))
+    ranked = drawn.withColumn("place", F.row_number().over(Window.partitionBy("bucket").orderBy(key)) - 1)
+    chosen = ranked.join(draws, ["bucket", "place"]).select("slot", key)
+    at = unit_hash(F.concat_ws(":", F.lit(f"{seed}:start"), F.col("slot").cast("string")))
+    found = (docs.join(F.broadcast(chosen), key)  # exactly ``batch`` rows
              .withColumn("start", F.floor(at * (F.size("ids") - block)).cast("int"))
              .withColumn("_w", F.slice("ids", F.col("start") + 1, block + 1)))
-    return drawn.select("slot", key, "start", *_pair(F.col("_w"), block))
+    return found.select("slot", key, "start", *_pair(F.col("_w"), block))

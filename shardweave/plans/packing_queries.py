@@ -465,7 +465,7 @@ def batch_windows(spark, sf_dir):
 
 @query(f"""
 WITH {SQL_ENCODED}, pool AS (
-  SELECT doc_id, ids, row_number() OVER (ORDER BY doc_id) - 1 AS doc_no
+  SELECT doc_id, ids, row_number() OVER (ORDER BY substr(sha256(doc_id::VARCHAR), 1, 4), doc_id) - 1 AS doc_no
   FROM encoded WHERE len(ids) >= {BLOCK + 1}),
 draws AS (
   SELECT slot, floor({unit_sql("'5:doc:' || slot")} * (SELECT count(*) FROM pool))::BIGINT AS doc_no,

@@ -74,3 +74,22 @@ def test_stored_tokens_stay_where_they_are(spark, stored, tmp_path, plan_rows):
     for r in rows:
         tokens = whole["train", r.shard_idx]
         assert r.x == tokens[r.start:r.start + 40] and r.y == tokens[r.start + 1:r.start + 41]
+
+
+def test_uniform_batches_are_uniform(spark):
+    """Chi-square of 20,000 draws over 200 documents."""
+    docs = spark.range(250).select("id", F.when(F.col("id") < 200, F.sequence(F.lit(0), F.lit(9))).otherwise(
+        F.array(F.lit(1))).alias("ids")).withColumn("n_tokens", F.size("ids"))
+    rows = windows.uniform_batch(docs, "id", 8, batch=20_000, seed=2).collect()
+    assert sorted(r.slot for r in rows) == list(range(20_000)) and max(r.id for r in rows) == 199
+    counts = [0] * 200
+    for r in rows:
+        counts[r.id] += 1
+    assert sum((n - 100) ** 2 / 100 for n in counts) < 199 + 4 * (2 * 199) ** 0.5
+    assert {r.start for r in rows} == {0, 1}
+    again = windows.uniform_batch(docs.repartition(7), "id", 8, batch=20_000, seed=2).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, rows))
+    with pytest.raises(ValueError, match="at most"):
+        windows.uniform_batch(docs, "id", 8, windows.MAX_BATCH + 1, 1)
+    with pytest.raises(ValueError, match="long enough"):
+        windows.uniform_batch(docs, "id", 80, 4, 1)
