@@ -35,14 +35,24 @@ def words(text: Column, prefix_space: bool = True) -> Column:
     return F.when(text == "", F.array().cast("array<string>")).otherwise(found)
 
 
+def literals(specials: list[str]) -> str:
+    """Pattern of any of the special tokens, as they are spelled."""
+    return "|".join(re.sub(r"(\W)", r"\\\1", s) for s in specials)
+
+
+def parts_pattern(specials: list[str]) -> str:
+    """Pattern of special tokens and of the stretches between them."""
+    literal = literals(specials)
+    return rf"(?s)(?:{literal})|.+?(?=(?:{literal})|\z)"
+
+
 def words_with_specials(text: Column, specials: list[str], prefix_space: bool = True) -> Column:
     """Like ``words``, but literal special tokens in the text are kept whole.
 
     The stretches between them count as texts of their own.
     """
-    literal = "|".join(re.sub(r"(\W)", r"\\\1", s) for s in specials)
-    parts = F.regexp_extract_all(
-        text, F.lit(rf"(?s)(?:{literal})|.+?(?=(?:{literal})|\z)"), F.lit(0))
+    literal = literals(specials)
+    parts = F.regexp_extract_all(text, F.lit(parts_pattern(specials)), F.lit(0))
     split = F.flatten(F.transform(parts, lambda p: F.when(
         p.isin(specials), F.array(p)).otherwise(words(p, prefix_space))))
     return F.when(text.rlike(literal), split).otherwise(words(text, prefix_space))

@@ -184,7 +184,7 @@ def text_decoder(vocab: Vocabulary, skip_specials: bool = True):
 
 def listing(vocab: Vocabulary, spark: SparkSession, limit: int | None = None,
             merges: int = 50) -> DataFrame:
-    """``(section, pos, entry)``: tokens by id, the first merges, and totals.
+    """``(section, pos, entry)``: tokens by id, special tokens, the first merges, and totals.
 
     No ``limit``, or zero, lists every token.
     """
@@ -193,6 +193,8 @@ def listing(vocab: Vocabulary, spark: SparkSession, limit: int | None = None,
     return (
         shown.select(F.lit("token").alias("section"), F.col("id").alias("pos"),
                      F.col("token").alias("entry"))
+        .unionByName(tokens.filter("kind = 'special'").select(
+            F.lit("special").alias("section"), F.col("id").alias("pos"), F.col("token").alias("entry")))
         .unionByName(pairs.filter(F.col("rank") < merges).select(
             F.lit("merge").alias("section"), F.col("rank").alias("pos"),
             F.concat_ws(" ", "left", "right").alias("entry")))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardweave.functions.bytelevel import EOS, WORD_PATTERN
+from shardweave.functions.bytelevel import EOS, WORD_PATTERN, literals, parts_pattern
 from shardweave.operators import bpe_encode, bpe_train, char_vocab
 from shardweave.sources import artifacts
 
@@ -143,19 +143,54 @@ def tokenizer(kind: str = "char", **options) -> Tokenizer:
     return KINDS[kind](**options)
 
 
+def _quoted(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _words_sql(text: str, vocab: bpe_train.Vocabulary) -> str:
+    """SQL twin of ``bytelevel.words``."""
+    source = f"if(startswith({text}, ' '), {text}, concat(' ', {text}))" if vocab.prefix_space else text
+    return (f"if({text} = '', cast(array() AS array<string>), "
+            f"regexp_extract_all({source}, {_quoted(WORD_PATTERN)}, 0))")
+
+
+def _cut_sql(text: str, vocab: bpe_train.Vocabulary) -> str:
+    """SQL twin of ``bytelevel.words_with_specials``."""
+    if not vocab.specials:
+        return _words_sql(text, vocab)
+    literal = literals(vocab.specials)
+    parts = f"regexp_extract_all({text}, {_quoted(parts_pattern(vocab.specials))}, 0)"
+    listed = ", ".join(map(_quoted, vocab.specials))
+    return (f"if({text} rlike {_quoted(literal)}, flatten(transform({parts}, p -> "
+            f"if(p IN ({listed}), array(p), {_words_sql('p', vocab)}))), {_words_sql(text, vocab)})")
+
+
 def register_sql(spark: SparkSession, tok: Tokenizer) -> None:
-    """SQL functions ``tokenize(text)`` and ``detokenize(ids)`` for one tokenizer."""
+    """SQL functions for one tokenizer.
+
+    ``tokenize(text)`` and ``detokenize(ids)`` equal the column functions, literal specials in the text
+    included. Table functions, for use with LATERAL: ``tokens_of(text)`` has a row ``(pos, id)`` per token,
+    ``token_windows(ids, block)`` a row ``(start, x, y)`` per next-token window.
+    """
     if isinstance(tok, CharTokenizer):
         spark.udf.register("tokenize", char_vocab.encoder(tok.chars))
         spark.udf.register("detokenize", char_vocab.decoder(tok.chars))
-        return
-    vocab = tok._fitted()
-    spark.udf.register("encode_words", F.arrow_udf(
-        bpe_encode.word_lookup(vocab), T.ArrayType(T.IntegerType())))
-    pattern = WORD_PATTERN.replace("\\", "\\\\").replace("'", "\\'")
-    prefix = "if(startswith(t, ' '), t, concat(' ', t))" if vocab.prefix_space else "t"
-    spark.sql(f"""
-        CREATE OR REPLACE TEMPORARY FUNCTION tokenize(t STRING) RETURNS ARRAY<INT>
-        RETURN encode_words(if(t = '', cast(array() AS array<string>),
-                               regexp_extract_all({prefix}, '{pattern}', 0)))""")
-    spark.udf.register("detokenize", bpe_encode.text_decoder(vocab, tok.skip_specials))
+    else:
+        vocab = tok._fitted()
+        spark.udf.register("encode_words", F.arrow_udf(
+            bpe_encode.word_lookup(vocab), T.ArrayType(T.IntegerType())))
+        spark.sql(f"""
+            CREATE OR REPLACE TEMPORARY FUNCTION tokenize(t STRING) RETURNS ARRAY<INT>
+            RETURN encode_words({_cut_sql('t', vocab)})""")
+        spark.udf.register("detokenize", bpe_encode.text_decoder(vocab, tok.skip_specials))
+    spark.sql("""
+        CREATE OR REPLACE TEMPORARY FUNCTION tokens_of(t STRING) RETURNS TABLE (pos INT, id INT)
+        RETURN SELECT pos, id FROM (SELECT tokenize(t) AS ids) LATERAL VIEW posexplode(ids) AS pos, id""")
+    spark.sql("""
+        CREATE OR REPLACE TEMPORARY FUNCTION token_windows(ids ARRAY<INT>, block INT)
+        RETURNS TABLE (start INT, x ARRAY<INT>, y ARRAY<INT>)
+        RETURN SELECT start, slice(ids, start + 1, block), slice(ids, start + 2, block)
+        FROM (SELECT if(block <= 0, raise_error('block must be positive'), if(size(ids) > block,
+              sequence(0, size(ids) - block - 1), cast(array() AS array<int>))) AS starts)
+        LATERAL VIEW explode(starts) AS start""")

@@ -1,7 +1,7 @@
 """All registered queries."""
 
 from shardweave.plans import (  # noqa: F401
-    document_queries, packing_queries, score_queries, stream_queries, vocab_queries)
+    artifact_queries, document_queries, packing_queries, score_queries, stream_queries, vocab_queries)
 from shardweave.plans.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

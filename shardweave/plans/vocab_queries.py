@@ -84,6 +84,7 @@ def bpe_merges(spark, sf_dir):
 
 @query(f"""WITH RECURSIVE {_SQL_LEARNT}
 SELECT 'token' AS section, id AS pos, token AS entry FROM tokens
+UNION ALL SELECT 'special', id, token FROM tokens WHERE kind = 'special'
 UNION ALL SELECT 'merge', rank, "left" || ' ' || "right" FROM merges WHERE rank < 50
 UNION ALL SELECT 'total tokens', count(*)::INTEGER, NULL FROM tokens
 UNION ALL SELECT 'total merges', count(*)::INTEGER, NULL FROM merges""")
@@ -171,3 +172,17 @@ def bpe_packed(spark, sf_dir):
     return pieces.groupBy("split", "shard_idx", "block").agg(
         F.flatten(F.transform(ordered, lambda p: p["tokens"])).alias("tokens")
     ).select("split", "shard_idx", "block", text_of("tokens"))
+
+
+# Learning and encoding at the size the jobs use; a merge per step of recursive SQL would take too long.
+
+@query()
+def bpe_vocabulary_full(spark, sf_dir):
+    return bpe_train.learn(_counts(spark, sf_dir)).vocab_frame(spark)
+
+
+@query("SELECT doc_id, ' ' || text AS text FROM documents")
+def bpe_round_trip_full(spark, sf_dir):
+    vocab = bpe_train.learn(_counts(spark, sf_dir))
+    coded = _docs(spark, sf_dir).select("doc_id", codec.encode(F.col("text"), vocab).alias("ids"))
+    return coded.select("doc_id", codec.decode(F.col("ids"), vocab).alias("text"))

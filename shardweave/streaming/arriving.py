@@ -11,7 +11,8 @@ from shardweave.functions.split import split_name
 from shardweave.functions.text import doc_key
 from shardweave.operators.documents import extract
 from shardweave.operators.order import running_total
-from shardweave.staging import new_path
+from shardweave.sources.config import MAX_SOURCES
+from shardweave.staging import drop_stage, new_path, stage
 
 
 def route_stream(docs: DataFrame, ratio: float, row_id: str,
@@ -34,16 +35,21 @@ def running_counts(encoded: DataFrame) -> DataFrame:
 def quota_writer(quotas: DataFrame, order: str, out: str, state: str):
     """A ``foreachBatch`` function that keeps the first ``max_docs`` rows per source.
 
-    ``quotas(source_id, max_docs)`` is the checked config. State is one small table per
+    ``quotas(source_id, max_docs)`` is the config, checked to be short. State is one small table per
     batch, the rows seen per source. Rows inside a batch are numbered by a distributed
     running total, so a hot source is spread over tasks; keyed state would send all its
-    rows to one. Every file is named by its batch, so a repeated batch writes the same.
+    rows to one. A batch is written once, then read as often as its steps need, and of sources that
+    are full nothing is read further. Every file is named by its batch, so a repeated batch writes
+    the same.
     """
-    limits = F.broadcast(quotas.select("source_id", "max_docs"))
+    limits = quotas.select("source_id", "max_docs")
+    if limits.limit(MAX_SOURCES + 1).count() > MAX_SOURCES:
+        raise ValueError(f"more than {MAX_SOURCES} quotas")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        counts = batch.groupBy("source_id").agg(F.count("*").alias("n"))
+        rows = stage(batch, "arrived")
+        counts = rows.groupBy("source_id").agg(F.count("*").alias("n"))
         if batch_id:
             seen = spark.read.schema("source_id string, n long").parquet(
                 f"{state}/batch={batch_id - 1}")
@@ -52,15 +58,17 @@ def quota_writer(quotas: DataFrame, order: str, out: str, state: str):
         (counts.unionByName(seen).groupBy("source_id").agg(F.sum("n").alias("n"))
          .coalesce(1).write.mode("overwrite").parquet(f"{state}/batch={batch_id}"))
 
-        # One row per configured source on each side: both are safe to broadcast.
-        start = quotas.select("source_id").join(seen, "source_id", "left").select(
-            "source_id", F.coalesce("n", F.lit(0)).alias("_seen"))
-        numbered = running_total(batch, [order], within=["source_id"], out="doc_idx")
-        kept = (numbered.join(F.broadcast(start), "source_id").join(limits, "source_id")
-                .withColumn("doc_idx", F.col("doc_idx") + F.col("_seen"))
+        # One row per configured source with room left: safe to broadcast.
+        room = limits.join(seen, "source_id", "left").select(
+            "source_id", "max_docs", F.coalesce("n", F.lit(0)).alias("_seen")).filter(
+                "max_docs IS NULL OR _seen < max_docs")
+        due = rows.join(F.broadcast(room), "source_id")
+        numbered = running_total(due, [order], within=["source_id"], out="doc_idx")
+        kept = (numbered.withColumn("doc_idx", F.col("doc_idx") + F.col("_seen"))
                 .filter(F.col("max_docs").isNull() | (F.col("doc_idx") < F.col("max_docs")))
                 .drop("_seen", "max_docs"))
-        kept.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        kept.select(*batch.columns, "doc_idx").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        drop_stage(rows)
 
     return write
 

@@ -40,6 +40,14 @@ def test_vocabulary_and_merges(learnt):
     assert vocab.merges == merges
 
 
+def test_a_vocabulary_of_full_size(spark):
+    """8,000 tokens from 1,000 documents, through rounds of many merges each."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text")
+    _, tokens, merges = library([r.text for r in docs.collect()], 8000)
+    vocab = bpe_train.learn(bpe_train.word_counts(docs))
+    assert len(tokens) == 8000 and (vocab.tokens, vocab.merges) == (tokens, merges)
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_ties_and_small_bounds(spark, monkeypatch, seed):
     """Tiny alphabets are full of ties; tiny bounds force every way out of a round."""
@@ -190,3 +198,25 @@ def test_sql_functions(spark, learnt):
     for r in rows:
         assert r.ids == tok.encode(r.text, add_special_tokens=False).ids
         assert r.back == tok.decode(r.ids)
+
+
+def test_sql_functions_equal_the_column_functions(spark, learnt):
+    """Literal specials included; table functions work with LATERAL."""
+    vocab, _ = learnt
+    bpe = tokenizer("bpe")
+    bpe.vocab = vocab
+    register_sql(spark, bpe)
+    frame(spark, [*ODD, None]).createOrReplaceTempView("odd_texts")
+    wanted = {r.i: r.ids for r in spark.table("odd_texts").select("i", bpe.encode(F.col("text")).alias("ids")).collect()}
+    assert {r.i: r.ids for r in spark.sql("SELECT i, tokenize(text) AS ids FROM odd_texts").collect()} == wanted
+    rows = spark.sql("SELECT i, pos, id FROM odd_texts, LATERAL tokens_of(text)").collect()
+    found = {i: [] for i in wanted}
+    for r in sorted(rows):
+        assert r.pos == len(found[r.i])
+        found[r.i].append(r.id)
+    assert found == {i: ids or [] for i, ids in wanted.items()}
+    rows = spark.sql("SELECT i, w.* FROM (SELECT i, tokenize(text) AS ids FROM odd_texts), LATERAL token_windows(ids, 3) w").collect()
+    assert {(r.i, r.start): (r.x, r.y) for r in rows} == {
+        (i, s): (ids[s:s + 3], ids[s + 1:s + 4]) for i, ids in wanted.items() for s in range(len(ids or []) - 3)}
+    with pytest.raises(Exception, match="positive"):
+        spark.sql("SELECT * FROM odd_texts, LATERAL token_windows(array(1, 2), 0)").collect()
