@@ -11,10 +11,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 SLICE_BYTES = 2 << 20
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
+LONG_WORD = 256
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 
 _rng = np.random.default_rng(20240607)
 _SYMBOLS = _rng.integers(0, 2**64, 256, dtype=np.uint64)
@@ -112,11 +116,18 @@ class Words:
         return np.repeat(np.arange(len(self.rows) - 1), np.diff(self.rows))
 
     def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word, A-Z taken as a-z."""
+        """A 64-bit hash of each word, A-Z taken as a-z.
+
+        Sums modulo 2**64 are alike for certain long texts, so long words are hashed by xxh3.
+        """
         sums = prefix_sums(self.data, _SYMBOLS_LOWER)
         _, inverse = powers(len(self.data) + 1)
-        h = (sums[self.ends] - sums[self.starts]) * inverse[self.starts]
-        return mix(h + (self.ends - self.starts).astype(U64))
+        lengths = self.ends - self.starts
+        h = mix((sums[self.ends] - sums[self.starts]) * inverse[self.starts] + lengths.astype(U64))
+        for i in np.flatnonzero(lengths > LONG_WORD):
+            word = _LOWER[self.data[self.starts[i]:self.ends[i]]]
+            h[i] = xxhash.xxh3_64_intdigest(word.tobytes())
+        return h
 
 
 def prefix_sums(data: np.ndarray, symbols: np.ndarray = _SYMBOLS) -> np.ndarray:

@@ -4,8 +4,9 @@ Signing is map-only: each text becomes 128 minima over its distinct word shingle
 four minima name buckets; of each minimum only four low bits are kept, packed 16 to a long.
 Within a bucket every member is compared with two representatives, so a group of copies costs
 links in proportion to its size. Bucket members that are then still in different components
-are compared block by block on their packed bits, which leaves no bucket pair undecided.
-Estimates only discard pairs far below the threshold; every link is confirmed on full sets.
+are compared block by block, which leaves no bucket pair undecided: pairs that look alike by their
+packed bits are confirmed on full sets in place, and a block passes on only links that join two
+components. Estimates only discard pairs far below the threshold; every link is confirmed on full sets.
 
 Documents with equal shingle sets form one class and are signed once for all of them.
 """
@@ -27,7 +28,10 @@ from shardweave.staging import stage
 
 HASHES, ROWS, BITS = 128, 4, 4
 BANDS = HASHES // ROWS
-BLOCK = 1024
+#: Members of a block, and shingles of all of them together.
+BLOCK, BLOCK_SHINGLES = 1024, 4_000_000
+#: Fewer sets are intersected one by one, and so are those whose bit rows would be larger.
+FEW_SETS, BIT_BYTES = 24, 64 << 20
 #: An estimate has a standard deviation of about 0.037; links are seven of them above this.
 SLACK = 0.26
 MEMBERS = 256
@@ -182,32 +186,79 @@ def confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
             .mapInArrow(_verify(width, percent), "a long, b long"))
 
 
-def _compare(percent: int, least: float):
-    """Pairs of one block pair that are in different components and look similar."""
+def _set_of(width: int):
+    """Sorted shingle hashes of each text, as bytes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = flatten(batch.column("text"))
+            for first, last, part, at in slices(data, offsets):
+                sets = [s.tobytes() for s in shingle_sets(part, at, width)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id").slice(first, last - first), pa.array(sets, pa.binary())], ["id", "shingles"])
+    return run
+
+
+class _Overlap:
+    """Sizes of intersections of sets; those of many sets are counted on bit rows of their shared elements."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sets, self.bits = sets, None
+        flat = np.concatenate(sets)
+        if len(sets) < FEW_SETS:
+            return
+        _, place, count = np.unique(flat, return_inverse=True, return_counts=True)
+        shared = count > 1
+        column = np.cumsum(shared) - 1
+        words = int(shared.sum()) // 64 + 1
+        if len(sets) * words * 8 > BIT_BYTES:
+            return
+        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])[shared[place]]
+        at = column[place][shared[place]]
+        self.bits = np.zeros((len(sets), words), np.uint64)
+        np.bitwise_or.at(self.bits, (owner, at >> 6), U64(1) << (at & 63).astype(np.uint64))
+
+    def __call__(self, one: int, others: np.ndarray) -> Iterator[int]:
+        if self.bits is not None:
+            return iter(np.bitwise_count(self.bits[one] & self.bits[others]).sum(axis=1, dtype=np.int64).tolist())
+        return (len(np.intersect1d(self.sets[one], self.sets[k], assume_unique=True)) for k in others)
+
+
+def _link_block(percent: int, least: float):
+    """Links between members of one block pair of a bucket that join different components.
+
+    A pair is looked at in the first bucket that it shares, and only while it is in different
+    components; so a block pair has fewer links than members.
+    """
     def run(table: pa.Table) -> pa.Table:
         ids = table["id"].to_numpy()
-        comps = table["component"].to_numpy()
+        roots = np.unique(table["component"].to_numpy(), return_inverse=True)[1]
         sizes = table["n_shingles"].to_numpy()
         blocks = table["block"].to_numpy()
-        i, j = table["i"][0].as_py(), table["j"][0].as_py()
+        i, j, band = (table[name][0].as_py() for name in ("i", "j", "band"))
         words = np.stack(table["signature"].to_pylist()).astype(np.int64).view(np.uint64)
+        bands = np.stack(table["bands"].to_pylist())[:, :band]
+        overlap = _Overlap([np.frombuffer(s.as_buffer(), np.uint64) for s in table["shingles"]])
         left, right = [], []
-        rows = np.flatnonzero(blocks == i)
         others = np.flatnonzero(blocks == j)
-        for row in rows:
-            x = words[row] ^ words[others]
+        for row in np.flatnonzero(blocks == i):
+            near = (roots[others] != roots[row]) & (100 * np.minimum(sizes[row], sizes[others])
+                                                    >= percent * np.maximum(sizes[row], sizes[others]))
+            if i == j:
+                near &= others > row
+            found = others[near]
+            found = found[~(bands[found] == bands[row]).any(axis=1)]
+            x = words[row] ^ words[found]
             x |= x >> U64(1)
             x |= x >> U64(2)
             equal = HASHES - np.bitwise_count(x & U64(_NIBBLES)).sum(axis=1)
             chance = 2.0 ** -BITS
-            near = (equal / HASHES - chance) / (1 - chance) >= least
-            small, large = np.minimum(sizes[row], sizes[others]), np.maximum(sizes[row], sizes[others])
-            near &= (comps[others] != comps[row]) & (100 * small >= percent * large)
-            if i == j:
-                near &= ids[others] > ids[row]
-            found = others[near]
-            left.extend(np.minimum(ids[row], ids[found]).tolist())
-            right.extend(np.maximum(ids[row], ids[found]).tolist())
+            looks = (equal / HASHES - chance) / (1 - chance)
+            found = found[looks >= least]
+            for k, both in zip(found, overlap(row, found)):
+                if roots[k] != roots[row] and 100 * both >= percent * (sizes[row] + sizes[k] - both):
+                    left.append(ids[row])
+                    right.append(ids[k])
+                    roots[roots == roots[k]] = roots[row]
         return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
     return run
 
@@ -241,11 +292,11 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataF
         .select(F.col("doc_id").alias("id"), "n_shingles", "bands", "signature"), "firsts")
     signatures = firsts.select("id", "n_shingles", "signature")
 
-    entries = firsts.select("id", F.explode("bands").alias("bucket"))
+    entries = firsts.select("id", "n_shingles", F.posexplode("bands").alias("band", "bucket"))
     shared = (entries.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("members"), F.min("id").alias("lo"), F.max("id").alias("hi"))
+        F.count(F.lit(1)).alias("members"), F.sum("n_shingles").alias("shingles_in"), F.min("id").alias("lo"), F.max("id").alias("hi"))
         .filter("members > 1"))
-    buckets = stage(entries.join(shared, "bucket"), "buckets")
+    buckets = stage(entries.drop("n_shingles").join(shared, "bucket"), "buckets")
     least = percent / 100 - SLACK
 
     def similar(pairs: DataFrame) -> DataFrame:
@@ -272,19 +323,22 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataF
 
     # Buckets of up to three are decided by their two representatives.
     open_rows = buckets.filter("members > 3").join(found, "id", "left").select(
-        "bucket", "id", "members", F.coalesce("component", "id").alias("component"))
+        "bucket", "band", "id", "members", "shingles_in", F.coalesce("component", "id").alias("component"))
     mixed = open_rows.groupBy("bucket").agg(
         F.min("component").alias("_lo"), F.max("component").alias("_hi")).filter("_lo <> _hi")
-    rest = open_rows.join(mixed.select("bucket"), "bucket").join(signatures, "id")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("long")
+    rest = stage(open_rows.join(mixed.select("bucket"), "bucket"), "mixed")
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+    sets = keep_ids(texts, stage(rest.select("id").distinct(), "ids"), "id").mapInArrow(
+        _set_of(width), "id long, shingles binary")
+    members = firsts.join(sets, "id")
+    blocks = F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("shingles_in") / BLOCK_SHINGLES)).cast("long")
     rest = (rest.withColumn("blocks", blocks)
             .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-            .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")))
-    second_pairs = stage(
-        rest.groupBy("bucket", "i", "j").applyInArrow(_compare(percent, least), "a long, b long")
-        .distinct().join(first_pairs, ["a", "b"], "left_anti"), "pairs")
-    second_links = confirm(second_pairs, docs, width, percent)
+            .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+            .drop("members", "shingles_in", "blocks", "other"))
+    second_links = rest.join(members, "id").groupBy("bucket", "i", "j").applyInArrow(
+        _link_block(percent, least), "a long, b long")
     links = stage(first_links.unionByName(second_links), "links")
     final = components(links)
     return labelled.join(final.withColumnRenamed("id", "class_id"), "class_id", "left").select(
