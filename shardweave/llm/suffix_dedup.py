@@ -1,12 +1,13 @@
 """Removal of passages that repeat byte for byte, over range-partitioned suffixes.
 
-Every start of a 100-byte string is tied to an anchor: of the 50-byte strings inside it, the
+Every start of a 100-byte string is tied to an anchor: of the 32-byte strings inside it, the
 one with the least hash, the leftmost first. Equal strings have equal anchors, so suffixes
 need to be compared only with those that have the same anchor, and those whose anchor
 occurs once in the whole corpus are settled without travelling. The others are
-range-partitioned by sampled splitters over the leading bytes of their anchors; a bucket is
-sorted by multikey quicksort, eight bytes to a symbol. Equal strings share the splitter
-key, so no group of them crosses a boundary between buckets.
+range-partitioned by sampled splitters over the leading bytes of their anchors; in a bucket those that equal
+no other are let go by a rolling hash, and the others are sorted by multikey quicksort, eight bytes to a symbol.
+Equal strings share the splitter key, so no group of them crosses a boundary between buckets. Buckets are ranges of
+anchors, so their order is that of anchors, not of whole suffixes.
 
 Within a slice of texts equal runs are settled before the shuffle, so a passage in a third of
 all documents reaches its bucket once per slice.
@@ -29,19 +30,28 @@ from shardweave.llm.packed import by_route, pack, unpack_all
 from shardweave.llm.rowkeys import row_key
 from shardweave.staging import stage
 
-GRAM, ANCHOR = 100, 50
+GRAM, ANCHOR = 100, 32
 ROUTE_KEYS, BUCKET_KEYS, SAMPLE = 2_000_000, 30_000, 20_000
 LOW = U64(0xFFFFFFFF)
+PART_BYTES = 1 << 19
 
 
 def anchor_runs(data: np.ndarray, offsets: np.ndarray):
     """Runs of starts with one anchor: row, first start, last start, anchor key."""
+    found = []
+    for begin, end, part, at in slices(data, offsets, PART_BYTES):  # of a few rows, to keep arrays small
+        row, first, last, key = _part_runs(part, at)
+        found.append((row + begin, first + offsets[begin], last + offsets[begin], key))
+    return [np.concatenate(arrays) for arrays in zip(*found)] if found else _part_runs(data, offsets)
+
+
+def _part_runs(data: np.ndarray, offsets: np.ndarray):
     none = np.zeros(0, np.int64)
     if len(data) < GRAM:
         return none, none, none, np.zeros(0, np.uint64)
     h = rolling(data, ANCHOR)
     least = (h & ~LOW) | np.arange(len(h), dtype=np.uint64)
-    for step in (1, 2, 4, 8, 16, 19):  # a window of 51 starts
+    for step in (1, 2, 4, 8, 16, 32, 5):  # a window of 69 starts
         least = np.minimum(least[:-step], least[step:])
     at = (least & LOW).astype(np.int64)
     row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[:len(at)]
@@ -151,45 +161,126 @@ def _suffixes(splitters: np.ndarray):
     return run
 
 
+def _symbols(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place on, as one number in byte order."""
+    return np.ndarray(max(0, len(data) - 7), ">u8", data, strides=(1,))
+
+
+def multikey_order(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Order of suffixes that differ within GRAM bytes.
+
+    Multikey quicksort: suffixes are sorted by their first symbol; ties are parted into those below, at
+    and above a pivot's next symbol, for all open groups at once, and those at it go on with the one after.
+    """
+    words = _symbols(data)
+    offsets = [*range(0, GRAM - 7, 8), GRAM - 8]  # the last symbol may overlap the one before
+    symbol = words[starts].astype(np.uint64)
+    order = np.argsort(symbol)
+    bounds = np.append(runs(symbol[order]), len(starts))
+    depth = np.ones(len(bounds) - 1, np.int64)
+    while True:
+        sizes = np.diff(bounds)
+        # Groups of one, and those compared to the end, are in place.
+        open_ = (sizes > 1) & (depth < len(offsets))
+        if not open_.any():
+            return order
+        first, size, level = bounds[:-1][open_], sizes[open_], depth[open_]
+        at = ranges(first, size)
+        group = np.repeat(np.arange(len(size)), size)
+        symbol = words[starts[order[at]] + np.array(offsets)[level][group]].astype(np.uint64)
+        pivot = symbol[(np.cumsum(size) - size) + size // 2][group]
+        side = (symbol > pivot).astype(np.int64) - (symbol < pivot) + 1
+        part = np.argsort(group * 3 + side, kind="stable")
+        order[at] = order[at][part]
+        counts = np.bincount(group * 3 + side, minlength=3 * len(size))
+        filled = counts > 0
+        inner = (np.repeat(first, 3) + np.concatenate(
+            [np.zeros((len(size), 1), np.int64), np.cumsum(counts.reshape(-1, 3), axis=1)[:, :2]], axis=1).ravel())[filled]
+        deeper = (np.repeat(level, 3) + np.tile([0, 1, 0], len(size)))[filled]
+        bounds = np.concatenate((bounds[:-1][~open_], inner))
+        depth = np.concatenate((depth[~open_], deeper))
+        ranked = np.argsort(bounds)
+        bounds, depth = np.append(bounds[ranked], len(starts)), depth[ranked]
+
+
+def _all_equal(data: np.ndarray, one: np.ndarray, other: np.ndarray) -> bool:
+    """Whether the GRAM bytes from ``one[i]`` and from ``other[i]`` on are equal, for all i.
+
+    Neighbouring pairs at one distance share all but a byte, so each stretch of them is compared once.
+    """
+    order = np.argsort(one)
+    one, shift = one[order], (other - one)[order]
+    new = np.ones(len(one), bool)
+    new[1:] = (one[1:] - one[:-1] > 1) | (shift[1:] != shift[:-1])
+    cuts = np.flatnonzero(new)
+    ends = np.append(cuts[1:], len(one)) - 1
+    lengths = one[ends] - one[cuts] + GRAM
+    at = ranges(one[cuts], lengths)
+    return bool((data[at] == data[at + np.repeat(shift[cuts], lengths)]).all())
+
+
+def _equal_sets(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes that agree with another on GRAM bytes, set by set, and the sizes of the sets.
+
+    A rolling hash tells which are alone; the others are compared byte by byte with the first of their set.
+    """
+    hashes = rolling(data, GRAM)[starts]
+    active = np.argsort(hashes)
+    first = runs(hashes[active])
+    count = np.diff(np.append(first, len(active)))
+    active, count = active[np.repeat(count > 1, count)], count[count > 1]
+    if not len(active):
+        return active, count
+    head = np.repeat(np.minimum.reduceat(active, np.cumsum(count) - count), count)
+    if _all_equal(data, starts[active], starts[head]):
+        return active, count
+    words = _symbols(data)
+    while True:  # different strings with one hash: those unlike the first become a set of their own
+        head = active[np.repeat(np.cumsum(count) - count, count)]
+        same = np.ones(len(active), bool)
+        for i in (*range(0, GRAM - 7, 8), GRAM - 8):
+            same &= words[starts[active] + i] == words[starts[head] + i]
+        if same.all():
+            break
+        group = np.repeat(np.arange(len(count)), count) * 2 + ~same
+        parted = np.argsort(group, kind="stable")
+        active, group = active[parted], group[parted]
+        count = np.diff(np.append(runs(group), len(active)))
+    return active[np.repeat(count > 1, count)], count[count > 1]
+
+
 def multikey_groups(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes that agree with another on GRAM bytes, in sorted order, and their group.
 
-    Each round sorts the suffixes still tied by their next symbol and lets go of those that
-    are alone.
+    Equal ones are sorted once.
     """
-    active, group = np.arange(len(starts)), np.zeros(len(starts), np.int64)
-    for depth in range(0, GRAM, 8):
-        symbol = np.zeros(len(active), np.uint64)
-        for i in range(depth, min(depth + 8, GRAM)):
-            symbol = (symbol << U64(8)) | data[starts[active] + i]
-        order = np.lexsort((symbol, group))
-        active, group, symbol = active[order], group[order], symbol[order]
-        new = np.ones(len(active), bool)
-        new[1:] = (group[1:] != group[:-1]) | (symbol[1:] != symbol[:-1])
-        group = np.cumsum(new) - 1
-        tied = np.bincount(group)[group] > 1 if len(group) else np.zeros(0, bool)
-        active, group = active[tied], group[tied]
-    return active, group
+    if len(starts) < 2:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    active, count = _equal_sets(data, starts)
+    head = np.cumsum(count) - count
+    order = multikey_order(data, starts[active[head]]) if len(count) else count
+    return active[ranges(head[order], count[order])], np.repeat(np.arange(len(order)), count[order])
 
 
 def _sort_bucket(table: pa.Table) -> pa.Table:
     order, doc, start, length = unpack_all(table["packed"].to_pylist(), ("i8", "i8", "i8", "i8"))
     data = np.frombuffer(b"".join(table["body"].to_pylist()), np.uint8)
+    # Runs in document order, so that the number of a suffix tells which of two is earlier.
+    ranked = np.lexsort((start, doc, order))
     sizes = length + GRAM - 1
-    at = ranges(np.cumsum(sizes) - sizes, length)
+    begin = (np.cumsum(sizes) - sizes)[ranked]
+    doc, start, length = doc[ranked], start[ranked], length[ranked]
+    at = ranges(begin, length)
+    active, group = multikey_groups(data, at)
     run = np.repeat(np.arange(len(length)), length)
     pos = ranges(start, length)
-    active, group = multikey_groups(data, at)
-    run, pos = run[active], pos[active]
-    order, doc = order[run], doc[run]
-    ranked = np.lexsort((pos, doc, order, group))
-    group, doc, pos = group[ranked], doc[ranked], pos[ranked]
-    first = runs(group)
-    head = np.repeat(first, np.diff(np.append(first, len(group))))
-    later = (doc != doc[head]) | (pos != pos[head])
-    doc, pos = doc[later], pos[later]
-    ranked = np.lexsort((pos, doc))
-    doc, pos = doc[ranked], pos[ranked]
+    gone = np.zeros(len(at), bool)
+    if len(active):
+        firsts = runs(group)
+        head = np.repeat(np.minimum.reduceat(active, firsts), np.diff(np.append(firsts, len(group))))
+        gone[active[(doc[run[active]] != doc[run[head]]) | (pos[active] != pos[head])]] = True
+    later = np.flatnonzero(gone)
+    doc, pos = doc[run[later]], pos[later]
     new = np.ones(len(doc), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (pos[1:] > pos[:-1] + 1)
     cuts = np.flatnonzero(new)
