@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from shardweave.functions.bytelevel import (
     BOS, BYTE_TO_CHAR, EOS, UNK, from_byte_chars, words, words_with_specials)
+from shardweave.operators.bpe_merge import MergeTable
 from shardweave.operators.bpe_train import Vocabulary, merge_symbols
 
 # Vocabularies below this size are exported as 16-bit numbers.
@@ -39,52 +40,16 @@ def id_dtype(vocab_size: int) -> str:
 def word_lookup(vocab: Vocabulary):
     """Arrow function from word lists to id lists."""
     ids = {t: i for i, t in enumerate(vocab.tokens)}
-    width = np.int64(len(vocab.tokens) + 1)
     unknown = ids.get(UNK, -1)
     of_byte = np.array([ids.get(BYTE_TO_CHAR[b], unknown) for b in range(256)], np.int64)
     specials = {s: ids[s] for s in vocab.specials if s in ids}
 
-    # Pairs of ids as single sorted numbers, each with its rank and result.
-    ranks: dict[int, int] = {}
-    for rank, (a, b) in enumerate(vocab.merges):
-        ranks.setdefault(int(ids[a] * width + ids[b]), rank)
-    pair_codes = np.array(sorted(ranks), np.int64)
-    pair_ranks = np.array([ranks[c] for c in pair_codes], np.int64)
-    result = np.array([ids[a + b] for a, b in vocab.merges], np.int64)
-    never = np.int64(len(result))
+    table = MergeTable([ids[a] for a, _ in vocab.merges], [ids[b] for _, b in vocab.merges],
+                       [ids[a + b] for a, b in vocab.merges])
     text_ranks: dict = {}
     for rank, pair in enumerate(vocab.merges):
         text_ranks.setdefault(pair, rank)
 
-    def rank_at(at: np.ndarray, syms: np.ndarray, own: np.ndarray) -> np.ndarray:
-        """Rank of the pair starting at each place of ``at``."""
-        after = np.minimum(at + 1, len(syms) - 1)
-        code = syms[at] * width + syms[after]
-        spot = np.minimum(np.searchsorted(pair_codes, code), len(pair_codes) - 1)
-        hit = (pair_codes[spot] == code) & (own[at] == own[after]) & (after > at)
-        return np.where(hit, pair_ranks[spot], never)
-
-    def merge_round(syms: np.ndarray, own: np.ndarray, rank: np.ndarray):
-        """Merge the best pair of every word; also say which words had one."""
-        heads = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-        best = np.repeat(np.minimum.reduceat(rank, heads),
-                         np.diff(np.append(heads, len(syms))))
-        active = best < never
-        chosen = np.flatnonzero((rank == best) & active)
-        # In a run like "aaa" neighbouring choices overlap: take every second one.
-        place = np.arange(len(chosen))
-        fresh = np.concatenate([[True], np.diff(chosen) != 1])[:len(chosen)]
-        chosen = chosen[(place - np.maximum.accumulate(np.where(fresh, place, 0))) % 2 == 0]
-        syms[chosen] = result[rank[chosen]]
-        keep = np.ones(len(syms), bool)
-        keep[chosen + 1] = False
-        syms, own, rank, active = syms[keep], own[keep], rank[keep], active[keep]
-        # Only pairs on either side of a merged place are new.
-        moved = chosen - np.arange(len(chosen))
-        stale = np.concatenate([moved, moved[moved > 0] - 1])
-        rank[stale] = rank_at(stale, syms, own)
-        return syms, own, rank, active
-
     def encode_words(distinct: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in a row, and how many each word has."""
         raw = [b"" if w in specials else w.encode() for w in distinct]
@@ -98,14 +63,7 @@ def word_lookup(vocab: Vocabulary):
                 raw[i] = b""
         syms = of_byte[np.frombuffer(b"".join(raw), np.uint8)]
         own = np.repeat(np.arange(len(raw)), [len(r) for r in raw])
-        if not len(pair_codes):
-            done.append((syms, own))
-            syms = syms[:0]
-        rank = rank_at(np.arange(len(syms)), syms, own) if len(syms) else syms
-        while len(syms):
-            syms, own, rank, active = merge_round(syms, own, rank)
-            done.append((syms[~active], own[~active]))
-            syms, own, rank = syms[active], own[active], rank[active]
+        done.append(table.merge(syms, own))
         pool = np.concatenate([d[0] for d in done] or [np.zeros(0, np.int64)])
         owner = np.concatenate([d[1] for d in done] or [np.zeros(0, np.int64)])
         order = np.argsort(owner, kind="stable")

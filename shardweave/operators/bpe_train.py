@@ -1,8 +1,9 @@
 """Learning a byte-pair vocabulary from distributed word counts.
 
-Words live in a Spark table as symbols joined by a control character. Spark counts
-pairs, groups pieces and carries the state; two small per-word helpers run on Arrow
-batches, since their cost per word does not grow with the number of pairs.
+Words live in a Spark table of blocks: a row holds the symbol numbers of some thousand
+words end to end, their lengths and frequencies, and the counts of the block's pairs. A
+pass over it merges, counts and cuts whole blocks with numpy; words without a merged pair
+are set aside at once, and those of one symbol leave the table.
 
 Merges must come out in exact order: highest count first, ties to the smaller id
 pair. One job per merge would need thousands of jobs, so each round settles many:
@@ -15,30 +16,33 @@ pair. One job per merge would need thousands of jobs, so each round settles many
 3. Group equal pieces. If the result is within a fixed bound, replay merges over it
    until the best count reaches ``floor``; otherwise retry with fewer hot pairs, at
    worst one, whose merge needs no pieces at all.
-4. Apply the merges to the word table.
+4. Apply the merges to the blocks, which counts their pairs for the next round.
 """
 
 from __future__ import annotations
 
 import heapq
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from shardweave.functions.bytelevel import SPECIALS, to_byte_chars, words
+from shardweave.functions.bytelevel import BYTE_TO_CHAR, SPECIALS, to_byte_chars, words
+from shardweave.operators.bpe_merge import MergeTable, pair_codes
 from shardweave.staging import drop_stage, stage
 
 VOCAB_SIZE = 8000
 HOT_PAIRS = 64
 MAX_HOT_PAIRS = 4096
 MAX_PIECES = 50_000
-MAX_PIECE_CHARS = 8_000_000
+MAX_PIECE_SYMBOLS = 8_000_000
+BLOCK_SYMBOLS = 1 << 16
 
-# Between symbols; it cannot occur among byte characters.
+# Between symbols of a spelled word; it cannot occur among byte characters.
 _SEP = "\x01"
 Pair = tuple[str, str]
 
@@ -102,18 +106,15 @@ def pair_counts(state: DataFrame) -> DataFrame:
 def learn(counts: DataFrame, vocab_size: int = VOCAB_SIZE,
           hot_pairs: int = HOT_PAIRS) -> Vocabulary:
     """Learn ``vocab_size`` tokens from ``(word, n)`` counts; see the module text."""
-    # Words are short but costly: a fixed count keeps adaptive execution from folding
-    # them into a few tasks.
-    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    state = stage(counts.select(spelled(F.col("word")).alias("word"), "n")
-                  .repartition(parts, "word"), "bpe-words")
-    letters = state.select(F.explode(F.array_distinct(F.split("word", _SEP))).alias("ch"))
-    seen = sorted(r.ch for r in letters.distinct().collect())
-    tokens = SPECIALS + seen
-    ids = {t: i for i, t in enumerate(tokens)}
+    state = stage(word_blocks(counts), "bpe-words")
+    seen = sorted(_BYTE_CHARS[r.b] for r in
+                  state.select(F.explode("seen").alias("b")).distinct().collect())  # at most 256
+    ids = {t: i for i, t in enumerate(SPECIALS + seen)}
+    # Numbers in the table also cover bytes that do not occur; their order is that of the ids.
+    names = SPECIALS + _BYTE_CHARS
     merges: list[Pair] = []
     while len(ids) < vocab_size:
-        found, pieces = _round(state, ids, vocab_size, hot_pairs)
+        found, pieces = _round(state, names, ids, vocab_size, hot_pairs)
         if not found:
             break
         # Few pieces leave room for more hot pairs next time, many ask for fewer.
@@ -124,32 +125,140 @@ def learn(counts: DataFrame, vocab_size: int = VOCAB_SIZE,
         merges += found
         if len(ids) >= vocab_size:
             break
-        merged = stage(state.select(apply_merges(F.col("word"), found).alias("word"), "n")
-                       # One symbol is left: no pair will ever come from this word.
-                       .filter(F.instr("word", _SEP) > 0), "bpe-words")
+        named = set(names)
+        names += [t for t in dict.fromkeys(a + b for a, b in found) if t not in named]
+        merged = stage(apply_merges(state, names, found), "bpe-words")
         drop_stage(state)
         state = merged
     drop_stage(state)
     return Vocabulary(sorted(ids, key=ids.get), merges)
 
 
-def apply_merges(word: Column, merges: list[Pair]) -> Column:
-    """Replay merges on joined words, in order."""
-    # The last merge of a round may rebuild a symbol that earlier ones use, so it
-    # runs by itself after them.
-    passes = [{p: i for i, p in enumerate(part)} for part in (merges[:-1], merges[-1:])]
+# The 256 byte characters in their order, and the place of each byte among them.
+_BYTE_CHARS = sorted(BYTE_TO_CHAR[b] for b in range(256))
+_PLACE = np.array([_BYTE_CHARS.index(BYTE_TO_CHAR[b]) for b in range(256)], np.int64)
+_BLOCK = "syms array<int>, sizes array<int>, n array<long>, pairs array<long>, totals array<long>"
+
+
+def _owners(sizes: np.ndarray) -> np.ndarray:
+    return np.repeat(np.arange(len(sizes)), sizes)
+
+
+def _neighbours(syms: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of all adjacent symbols, and whether both stand in one word."""
+    return pair_codes(syms[:-1], syms[1:]), own[:-1] == own[1:]
 
-    @F.arrow_udf(T.StringType())
-    def replay(batch: pa.Array) -> pa.Array:
-        out = []
-        for text in batch.to_pylist():
-            syms = text.split(_SEP)
-            for ranks in passes:
-                syms = merge_symbols(syms, ranks)
-            out.append(_SEP.join(syms))
-        return pa.array(out, pa.string())
 
-    return replay(word)
+def _block(syms: np.ndarray, own: np.ndarray, n: np.ndarray) -> dict[str, np.ndarray]:
+    """A row of the word table: words of two symbols or more, and the counts of their pairs."""
+    sizes = np.bincount(own, minlength=len(n))
+    long = sizes > 1
+    keep = long[own]
+    syms, own, sizes, n = syms[keep], (np.cumsum(long) - 1)[own[keep]], sizes[long], n[long]
+    code, inside = _neighbours(syms, own)
+    code, times = code[inside], n[own[:-1][inside]]
+    order = np.argsort(code, kind="stable")
+    pairs, first = np.unique(code[order], return_index=True)
+    totals = np.add.reduceat(times[order], first) if len(first) else times
+    return {"syms": syms.astype(np.int32), "sizes": sizes.astype(np.int32), "n": n,
+            "pairs": pairs, "totals": totals}
+
+
+def _rows(blocks: list[dict[str, np.ndarray]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({
+        name: pa.array([b[name] for b in blocks], pa.list_(pa.from_numpy_dtype(blocks[0][name].dtype)))
+        for name in blocks[0]})
+
+
+def _values(batch: pa.RecordBatch, name: str, row: int) -> np.ndarray:
+    return batch.column(name)[row].values.to_numpy()
+
+
+def word_blocks(counts: DataFrame) -> DataFrame:
+    """The word table of ``(word, n)`` counts, with the byte characters ``seen`` in each block.
+
+    Symbols are numbered after the special tokens.
+    """
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        raw: list[bytes] = []
+        times: list[np.ndarray] = []
+        size = 0
+
+        def row() -> pa.RecordBatch:
+            places = _PLACE[np.frombuffer(b"".join(raw), np.uint8)]
+            own = _owners(np.array([len(r) for r in raw], np.int64))
+            block = _block(places + len(SPECIALS), own, np.concatenate(times))
+            return _rows([{**block, "seen": np.unique(places).astype(np.int32)}])
+
+        for batch in batches:
+            new = [w.encode() for w in batch.column("word").to_pylist()]
+            raw += new
+            times.append(batch.column("n").to_numpy())
+            size += sum(map(len, new))
+            if size >= BLOCK_SYMBOLS:
+                yield row()
+                raw, times, size = [], [], 0
+        if raw:
+            yield row()
+
+    # Words are short but costly: a fixed count keeps adaptive execution from folding
+    # them into a few tasks.
+    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (counts.select("word", F.col("n").cast("long").alias("n")).repartition(parts, "word")
+            .mapInArrow(cut, f"{_BLOCK}, seen array<int>"))
+
+
+def apply_merges(state: DataFrame, names: list[str], merges: list[Pair]) -> DataFrame:
+    """The word table after ``merges``, in order."""
+    number = {t: i for i, t in enumerate(names)}
+    # The last merge of a round may rebuild a symbol that earlier ones use, so it
+    # runs by itself after them.
+    tables = [MergeTable([number[a] for a, _ in part], [number[b] for _, b in part],
+                         [number[a + b] for a, b in part]) for part in (merges[:-1], merges[-1:])]
+
+    def replay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                syms, own = _values(batch, "syms", i), _owners(_values(batch, "sizes", i))
+                for table in tables:
+                    syms, own = table.merge(syms, own)
+                block = _block(syms, own, _values(batch, "n", i))
+                if len(block["syms"]):
+                    yield _rows([block])
+
+    return state.select("syms", "sizes", "n").mapInArrow(replay, _BLOCK)
+
+
+def block_pairs(state: DataFrame) -> DataFrame:
+    """``(pair, n)``: codes of adjacent symbols, from the counts of the blocks."""
+    return (state.select(F.explode(F.arrays_zip("pairs", "totals")).alias("p"))
+            .groupBy(F.col("p.pairs").alias("pair")).agg(F.sum("p.totals").alias("n")))
+
+
+def hot_pieces(state: DataFrame, hot: list[int]) -> DataFrame:
+    """``(piece, n)``: stretches of words in which every neighbouring pair is hot, as the
+    bytes of their 32-bit symbol numbers."""
+    wanted = np.array(sorted(hot), np.int64)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                syms, own = _values(batch, "syms", i), _owners(_values(batch, "sizes", i))
+                code, inside = _neighbours(syms, own)
+                spot = np.minimum(np.searchsorted(wanted, code), len(wanted) - 1)
+                ends = np.flatnonzero(~(inside & (wanted[spot] == code))) + 1
+                first, last = np.append(0, ends), np.append(ends, len(syms))
+                several = last - first > 1
+                first, last = first[several], last[several]
+                data, times = syms.astype("<i4").tobytes(), _values(batch, "n", i)[own[first]]
+                total: Counter[bytes] = Counter()
+                for a, b, n in zip((first * 4).tolist(), (last * 4).tolist(), times.tolist()):
+                    total[data[a:b]] += n
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(total.keys(), pa.binary()), pa.array(total.values(), pa.int64())], ["piece", "n"])
+
+    return (state.select("syms", "sizes", "n").mapInArrow(cut, "piece binary, n long")
+            .groupBy("piece").agg(F.sum("n").alias("n")))
 
 
 def merge_symbols(syms: list[str], ranks: dict[Pair, int]) -> list[str]:
@@ -188,75 +297,41 @@ def _merge_long(syms: list[str], ranks: dict[Pair, int]) -> list[str]:
     return [s for s in syms if s]
 
 
-def hot_pieces(state: DataFrame, hot: list[Pair]) -> DataFrame:
-    """``(piece, n)``: stretches of words in which every neighbouring pair is hot."""
-    wanted = frozenset(hot)
-
-    @F.arrow_udf(T.ArrayType(T.StringType()))
-    def cut(batch: pa.Array) -> pa.Array:
-        out = []
-        for text in batch.to_pylist():
-            syms = text.split(_SEP)
-            bounds = [i + 1 for i, p in enumerate(zip(syms, syms[1:])) if p not in wanted]
-            out.append([_SEP.join(syms[a:b]) for a, b in
-                        zip([0, *bounds], [*bounds, len(syms)]) if b - a > 1])
-        return pa.array(out, pa.list_(pa.string()))
-
-    return (state.select(F.explode(cut(F.col("word"))).alias("piece"), "n")
-            .groupBy("piece").agg(F.sum("n").alias("n")))
-
-
-def _round(state: DataFrame, ids: dict[str, int], vocab_size: int,
+def _round(state: DataFrame, names: list[str], ids: dict[str, int], vocab_size: int,
            hot_pairs: int) -> tuple[list[Pair], int]:
     """The next merges in exact order, at least one unless no pair is left.
 
     Also returns the number of pieces the first try led to.
     """
-    pairs = stage(pair_counts(state), "bpe-pairs")
-    try:
-        wanted = hot_pairs
-        while True:
-            top = [((r.left, r.right), r.n) for r in
-                   pairs.orderBy(F.desc("n"), "left", "right").limit(wanted + 1).collect()]
-            if not top:
-                return [], 0
-            floor = top[-1][1] if len(top) > wanted else 0
-            hot = [p for p, n in top if n > floor]
-            if hot or wanted >= MAX_HOT_PAIRS:
-                break
-            wanted *= 2  # one big tie: look further for its end
-        first_rows = 0
-        while len(hot) > 1:
-            pieces = stage(hot_pieces(state, hot), "bpe-pieces")
-            rows, chars = pieces.agg(
-                F.count("*"), F.coalesce(F.sum(F.length("piece")), F.lit(0))).first()
-            first_rows = first_rows or rows
-            if rows <= MAX_PIECES and chars <= MAX_PIECE_CHARS:
-                found = [(r.piece.split(_SEP), r.n) for r in pieces.collect()]
-                drop_stage(pieces)
-                return _replay(found, ids, floor, vocab_size), first_rows
-            drop_stage(pieces)
-            keep = len(hot) // 4
-            floor = top[keep][1]
-            hot = [p for p, n in top if n > floor]
-        best = _single_best(pairs, top[0][1], ids)
-        ids.setdefault("".join(best), len(ids))
-        return [best], first_rows
-    finally:
-        drop_stage(pairs)
-
-
-def _single_best(pairs: DataFrame, count: int, ids: dict[str, int]) -> Pair:
-    """Among all pairs with the top count, the one with the smallest ids."""
-    spark = pairs.sparkSession
-    # At most vocab_size rows, so broadcasting is safe.
-    known = spark.createDataFrame(list(ids.items()), "token string, id int")
-    left = known.select(F.col("token").alias("left"), F.col("id").alias("left_id"))
-    right = known.select(F.col("token").alias("right"), F.col("id").alias("right_id"))
-    best = (pairs.filter(F.col("n") == count)
-            .join(F.broadcast(left), "left").join(F.broadcast(right), "right")
-            .orderBy("left_id", "right_id").first())
-    return best.left, best.right
+    pairs = block_pairs(state)
+    wanted = hot_pairs
+    while True:
+        # Codes order pairs as their ids do.
+        top = [(r.pair, r.n) for r in pairs.orderBy(F.desc("n"), "pair").limit(wanted + 1).collect()]
+        if not top:
+            return [], 0
+        floor = top[-1][1] if len(top) > wanted else 0
+        hot = [p for p, n in top if n > floor]
+        if hot or wanted >= MAX_HOT_PAIRS:
+            break
+        wanted *= 2  # one big tie: look further for its end
+    first_rows = 0
+    while len(hot) > 1:
+        pieces = stage(hot_pieces(state, hot), "bpe-pieces")
+        rows, size = pieces.agg(
+            F.count("*"), F.coalesce(F.sum(F.length("piece")), F.lit(0)) / 4).first()
+        first_rows = first_rows or rows
+        found = pieces.collect() if rows <= MAX_PIECES and size <= MAX_PIECE_SYMBOLS else None
+        drop_stage(pieces)
+        if found is not None:
+            spelt = [([names[i] for i in np.frombuffer(r.piece, "<i4").tolist()], r.n) for r in found]
+            return _replay(spelt, ids, floor, vocab_size), first_rows
+        keep = len(hot) // 4
+        floor = top[keep][1]
+        hot = [p for p, n in top if n > floor]
+    best = names[top[0][0] >> 32], names[top[0][0] & 0xFFFFFFFF]
+    ids.setdefault("".join(best), len(ids))
+    return [best], first_rows
 
 
 def _replay(pieces: list[tuple[list[str], int]], ids: dict[str, int], floor: int,

@@ -3,12 +3,13 @@
 import json
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, decoders, models, pre_tokenizers, processors, trainers
 
 from shardweave.functions import bytelevel
-from shardweave.operators import bpe_encode, bpe_train
+from shardweave.operators import bpe_encode, bpe_merge, bpe_train
 from shardweave.operators.tokenizers import register_sql, tokenizer
 from shardweave.sources import artifacts
 
@@ -220,3 +221,40 @@ def test_sql_functions_equal_the_column_functions(spark, learnt):
         (i, s): (ids[s:s + 3], ids[s + 1:s + 4]) for i, ids in wanted.items() for s in range(len(ids or []) - 3)}
     with pytest.raises(Exception, match="positive"):
         spark.sql("SELECT * FROM odd_texts, LATERAL token_windows(array(1, 2), 0)").collect()
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_merging_many_words_equals_one_by_one(seed):
+    rng = random.Random(seed)
+    words = [[rng.choice("abc") for _ in range(rng.randint(0, 12))] for _ in range(200)] + [["a"] * 301]
+    merges = [("a", "a"), ("b", "c"), ("aa", "a"), ("bc", "aa"), ("aa", "aa"), ("a", "a")]
+    names = sorted({t for a, b in merges for t in (a, b, a + b)} | set("abc"))
+    number = {t: i for i, t in enumerate(names)}
+    table = bpe_merge.MergeTable(*[[number[t] for t in part] for part in zip(*[(a, b, a + b) for a, b in merges])])
+    syms, own = table.merge(np.array([number[t] for w in words for t in w]),
+                            np.repeat(np.arange(len(words)), [len(w) for w in words]))
+    ranks = {}
+    for rank, pair in enumerate(merges):
+        ranks.setdefault(pair, rank)
+    assert [[names[i] for i in syms[own == j]] for j in range(len(words))] == [
+        bpe_train.merge_symbols(w, ranks) for w in words]
+    none = np.zeros(0, np.int64)
+    assert not len(table.merge(none, none)[0])
+    assert bpe_merge.MergeTable([], [], []).merge(syms, own)[0] is syms
+
+
+def test_word_blocks_hold_the_pair_counts(spark):
+    counts = spark.createDataFrame([("aab", 3), ("b", 5), ("", 2), ("é" * 40_000, 2), ("ab", 1)], "word string, n long")
+    blocks = bpe_train.word_blocks(counts)
+    assert {bpe_train._BYTE_CHARS[b] for r in blocks.collect() for b in r.seen} == {
+        bytelevel.BYTE_TO_CHAR[b] for b in "abé".encode()}
+    names = bytelevel.SPECIALS + bpe_train._BYTE_CHARS
+    got = {(names[r.pair >> 32], names[r.pair & 0xFFFFFFFF]): r.n for r in bpe_train.block_pairs(blocks).collect()}
+    spelt = counts.select(bpe_train.spelled(F.col("word")).alias("word"), "n")
+    assert got == {(r.left, r.right): r.n for r in bpe_train.pair_counts(spelt).collect()}
+    assert sum(len(r.sizes) for r in blocks.collect()) == 3
+
+
+def test_learning_from_nothing(spark):
+    empty = spark.createDataFrame([], "word string, n long")
+    assert bpe_train.learn(empty, 50).tokens == bytelevel.SPECIALS
