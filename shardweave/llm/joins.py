@@ -13,7 +13,11 @@ def bounded(side: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
     For narrow tables that are already written. Beyond the bound Spark shuffles both sides.
     """
-    return F.broadcast(side) if side.limit(rows + 1).count() <= rows else side
+    return F.broadcast(side) if is_bounded(side, rows) else side
+
+
+def is_bounded(side: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    return side.limit(rows + 1).count() <= rows
 
 
 def keep_ids(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:

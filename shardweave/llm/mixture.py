@@ -50,13 +50,21 @@ def share(children: DataFrame, parent: list[str]) -> DataFrame:
 
 
 def leaf_budgets(leaves: DataFrame, total: Column, epochs: int) -> DataFrame:
-    """Leaves (domain, lang, source, tokens, weight_<level>) with their ``budget`` in tokens."""
-    tree = leaves.withColumn("leaf_supply", (F.col("tokens") * epochs).cast("double"))
+    """Leaves (domain, lang, source, tokens, weight_<level>) with their ``budget`` in tokens.
+
+    A leaf supplies nothing if a weight on its path is null, negative, zero or not a number.
+    """
+    weighs = F.lit(True)
+    for level in LEVELS:
+        weight = F.col(f"weight_{level}")
+        weighs = weighs & F.coalesce((weight > 0) & (weight < float("inf")), F.lit(False))
+    tree = leaves.withColumn("leaf_supply", F.when(weighs, F.col("tokens") * epochs).otherwise(0).cast("double"))
     budgets = None
     for depth in range(1, len(LEVELS) + 1):
         path, parent = list(LEVELS[:depth]), list(LEVELS[:depth - 1])
         nodes = tree.groupBy(*path).agg(F.sum("leaf_supply").alias("supply"),
-                                        F.max(f"weight_{LEVELS[depth - 1]}").cast("double").alias("weight"))
+                                        F.max(F.when(F.col("leaf_supply") > 0, F.col(f"weight_{LEVELS[depth - 1]}")))
+                                        .cast("double").alias("weight"))
         nodes = nodes.select(*path, *[F.lit("").alias(c) for c in LEVELS[depth:]], "supply",
                              F.when(F.col("supply") > 0, F.col("weight")).otherwise(0.0).alias("weight"))
         if budgets is None:
@@ -77,8 +85,11 @@ def mix(docs: DataFrame, weights: DataFrame, share_of_corpus: float = 0.5, epoch
     ``share_of_corpus`` of all tokens, and no leaf gives more than ``epochs`` times its own.
     ``take_tokens`` is the prefix used of a document: all of it, but for the last of a leaf.
 
-    Null languages and sources are the leaf "". Documents without tokens are never used.
-    Rows that share a doc_id are ordered by their text; equal rows follow each other.
+    Null languages and sources are the leaf "". Documents without tokens are never used, nor are
+    leaves with a weight on their path that is negative, zero or no finite number; what they cannot
+    take goes to the others. A null weight counts as 1, like a missing row.
+    Rows that share a doc_id are ordered by their text; equal rows follow each other. Extra columns
+    are ignored, whatever their names. Empty tables give no rows.
     """
     known = weights.select(F.col("source").alias("_source"), "domain", "weight_domain", "weight_lang",
                            "weight_source")

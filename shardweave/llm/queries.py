@@ -74,7 +74,7 @@ if corpus_pipeline.ORACLE_SQL is not None:
 
 @query()
 def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_k(table(configure(spark), sf_dir, "embeddings"))
+    return top_k(table(configure(spark), sf_dir, "embeddings")).drop("query_key")
 
 
 @query()

@@ -28,7 +28,8 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 def threshold_search(vectors: np.ndarray, ids: np.ndarray, lists: np.ndarray, query: np.ndarray,
                      query_id: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and scores of the k best vectors other than the query's own.
+    """Ids and scores of the k best vectors other than the query itself, which is the row of its id
+    and vector.
 
     ``lists`` has the order of the vectors in each dimension, ascending.
     """
@@ -37,6 +38,7 @@ def threshold_search(vectors: np.ndarray, ids: np.ndarray, lists: np.ndarray, qu
     down = query[used] > 0
     seen = np.zeros(n, bool)
     own = ids == query_id
+    own[own] = (vectors[own] == query).all(axis=1)
     best, scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
     depth, step = 0, 32
     while depth < n:
@@ -63,31 +65,37 @@ def threshold_search(vectors: np.ndarray, ids: np.ndarray, lists: np.ndarray, qu
 def _search(k: int):
     def run(table: pa.Table) -> pa.Table:
         if not len(table):
-            return pa.table({c: pa.array([], pa.int64()) for c in ("query_id", "vec_id", "score")})
+            return pa.table({"query_key": pa.array([], pa.string()),
+                             **{c: pa.array([], pa.int64()) for c in ("query_id", "vec_id", "score")}})
         ids = table["vec_id"].to_numpy()
         asks = table["is_query"].to_numpy(zero_copy_only=False)
         flat = table["v"].combine_chunks().flatten().to_numpy()
         all_ = flat.reshape(len(ids), -1)
         vectors, queries = all_[~asks], all_[asks]
-        out = []
+        out, keys = [], []
         if len(vectors) and len(queries):
             lists = np.argsort(vectors.T, axis=1, kind="stable")
-            for query, query_id in zip(queries, ids[asks].tolist()):
+            names = table["query_key"].filter(table["is_query"]).to_pylist()
+            for query, query_id, name in zip(queries, ids[asks].tolist(), names):
                 found, scores = threshold_search(vectors, ids[~asks], lists, query, query_id, k)
                 out.append((np.full(len(found), query_id), found, scores))
+                keys += [name] * len(found)
         columns = [np.concatenate([o[i] for o in out]) if out else np.zeros(0, np.int64) for i in range(3)]
-        return pa.table(dict(zip(("query_id", "vec_id", "score"), map(pa.array, columns))))
+        return pa.table({"query_key": pa.array(keys, pa.string()),
+                         **dict(zip(("query_id", "vec_id", "score"), map(pa.array, columns)))})
     return run
 
 
 def top_k(embeddings: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
-    """query_id, rank, vec_id, score: the k best candidates of each query.
+    """query_id, rank, vec_id, score, query_key: the k best candidates of each query.
 
     Components x are taken as floor(1024 * x). Queries are the rows whose vec_id ``every``
-    divides; candidates are all rows with another vec_id. Ties go to the smaller vec_id.
+    divides; candidates are all rows but the query's own. Ties go to the smaller vec_id.
     Vectors that are null or empty, or hold a null or a component that is not finite, take no
-    part, nor do rows without a vec_id. Equal rows count once; vectors are compared with those of
-    their own length. Scores must fit 63 bits.
+    part, nor do rows without a vec_id. Rows equal in id and vector count once; rows that share
+    only the id are queries of their own, told apart by ``query_key`` (a digest of the vector), and
+    candidates of each other. Vectors are compared with those of their own length. Scores must fit
+    63 bits. Extra columns are ignored, whatever their names; an empty table has no queries.
     """
     x = F.col("v0")
     good = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"),
@@ -104,11 +112,11 @@ def top_k(embeddings: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
     every_lot = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lots - 1).cast("long")))
     every_block = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
     sides = good.select("dims", block.alias("block"), every_lot.alias("lot"), F.lit(False).alias("is_query"),
-                        "vec_id", "v").unionByName(good.filter(is_query).select(
+                        F.lit(None).cast("string").alias("query_key"), "vec_id", "v").unionByName(good.filter(is_query).select(
                             "dims", every_block.alias("block"), lot.alias("lot"), F.lit(True).alias("is_query"),
-                            "vec_id", "v"))
+                            F.md5(F.array_join("v", ",").cast("binary")).alias("query_key"), "vec_id", "v"))
     found = sides.groupBy("dims", "block", "lot").applyInArrow(
-        _search(k), "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        _search(k), "query_key string, query_id long, vec_id long, score long")
+    order = Window.partitionBy("query_id", "query_key").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", "score")
+        "query_id", "rank", "vec_id", "score", "query_key")

@@ -54,6 +54,19 @@ def test_top_k_leaves_out_bad_vectors_and_orders_ties(spark):
     assert [(r.query_id, r["rank"], r.vec_id) for r in sorted(got, key=lambda r: r["rank"])] == [(0, 1, 1), (0, 2, 2)]
 
 
+def test_top_k_rows_that_share_an_id(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (0, [0.0, 1.0]), (7, [1.0, 0.5]), (100, [0.5, 0.5])]
+    got = top_k(spark.createDataFrame([(*r, 1, "x") for r in rows],
+                                      "vec_id long, embedding array<double>, score int, query_key string")).collect()
+    lists = collections.defaultdict(list)
+    for r in sorted(got, key=lambda r: r["rank"]):
+        lists[r.query_id, r.query_key].append((r["rank"], r.vec_id, r.score >> 18))
+    assert sorted((q, v) for (q, _), v in lists.items()) == [
+        (0, [(1, 7, 2), (2, 100, 2), (3, 0, 0)]), (0, [(1, 7, 4), (2, 100, 2), (3, 0, 0)]),
+        (100, [(1, 7, 3), (2, 0, 2), (3, 0, 2)])]
+    assert top_k(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
+
+
 def test_near_duplicates_matches_brute_force(spark):
     rows = rows_of("documents")
     sets = {}
@@ -89,8 +102,10 @@ def test_decontamination_matches_brute_force(spark):
         width = min(10, len(w))
         for i in range(len(w) - width + 1 if w else 0):
             grams[tuple(w[i:i + width])].add(str(r["item_id"]))
-    got = by_id(contamination(spark.read.parquet(f"{DIR}/documents.parquet"), bench))
+    table = spark.read.parquet(f"{DIR}/documents.parquet")
+    got = by_id(contamination(table, bench))
     assert len(got) == len(docs)
+    assert by_id(contamination(table, bench, broadcast_rows=0)) == got
     for r in docs:
         w, hit, found = words(r["text"]), set(), set()
         for i in range(len(w)):
@@ -162,6 +177,21 @@ def test_mixture_gives_shortages_to_siblings_first(spark):
     assert spent == {"a": 10, "b": 92, "c": 102}
 
 
+def test_mixture_leaves_without_weight_supply_nothing(spark):
+    lots = {"a": 2, "z": 36, "n": 1, "c": 40, "q": 1}
+    docs = spark.createDataFrame([(i, "w " * 10, "en", s) for s, n in lots.items() for i in range(n)],
+                                 "doc_id long, text string, lang string, source string")
+    one, none = 1.0, 0.0
+    weights = spark.createDataFrame(
+        [("a", "x", one, one, one), ("z", "x", one, one, none), ("n", "x", one, one, -1.0),
+         ("q", "x", float("nan"), one, one), ("c", "y", one, one, None)],
+        "source string, domain string, weight_domain double, weight_lang double, weight_source double")
+    spent = collections.Counter()
+    for r in mix(docs, weights, 0.5, 1).collect():
+        spent[r.source] += r.take_tokens
+    assert spent == {"a": 20, "c": 380}
+
+
 def test_licenses_own_and_inherited(spark):
     rows = [(1, "p/LICENSE", "Released under the MIT License."), (2, "p/q/a", "some words"), (3, "z/a", "some words"),
             (4, "p/q/b", "words\n" * 9 + "Licensed under the Apache License, Version 2.0."), (5, None, None)]
@@ -230,6 +260,7 @@ def test_awkward_rows(spark, count):
     labels = spark.createDataFrame([(1, 1, 0), (None, None, None)], "doc_id long, quality int, toxic int")
     bench = spark.createDataFrame([(1, "hello World"), (2, None)], "item_id long, text string")
     for made in (near_duplicates(docs), contamination(docs, bench), contamination(docs, bench.limit(0)),
+                 contamination(docs, bench, broadcast_rows=0),
                  remove_repeats(docs), languages(docs), score(docs), quality(docs, labels), quality(docs, labels.limit(0)),
                  scan_licenses(docs, docs.source)):
         assert made.count() == count
