@@ -3,6 +3,7 @@
 import pytest
 
 from shardweave.operators.documents import index_documents
+from shardweave.plans import document_queries, stream_queries
 from shardweave.sources.config import MAX_SOURCES
 from shardweave.staging import new_path
 from shardweave.streaming import arriving
@@ -55,3 +56,17 @@ def test_too_many_quotas_are_refused(spark):
     many = spark.range(MAX_SOURCES + 1).selectExpr("cast(id AS string) AS source_id", "1L AS max_docs")
     with pytest.raises(ValueError, match="more than"):
         arriving.quota_writer(many, "id", new_path(spark, "o"), new_path(spark, "s"))
+
+
+@pytest.mark.parametrize("parts", [0, 3])
+def test_stream_queries_read_a_file_and_a_folder_of_parts(spark, tmp_path, parts):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    if parts:
+        docs.repartition(parts).write.parquet(str(tmp_path / "documents.parquet"))
+    else:
+        (tmp_path / "documents.parquet").symlink_to("/root/testdata/sf0.001/documents.parquet")
+    n = docs.count()
+    assert sum(r.texts for r in stream_queries.stream_counts(spark, str(tmp_path)).collect()) == n
+    assert stream_queries.stream_route_encode(spark, str(tmp_path)).count() == n
+    got = stream_queries.stream_quota(spark, str(tmp_path)).collect()
+    assert sorted(got) == sorted(document_queries.quota_filter(spark, str(tmp_path)).collect())
