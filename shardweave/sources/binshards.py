@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
 
 from shardweave.operators.pack import BLOCK_TOKENS
-from shardweave.sources.storage import storage_of
+from shardweave.sources.storage import register_once, storage_of
 from shardweave.staging import stage
 
 # Number formats of shard files by name.
@@ -228,7 +228,7 @@ class PreparedSource(DataSource):
 
 def _prepared(spark: SparkSession, **options: str):
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    spark.dataSource.register(PreparedSource)
+    register_once(spark, PreparedSource)
     return spark.read.format("prepared_shards").options(**options)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from shardweave.sources.storage import storage_of
+from shardweave.sources.storage import register_once, storage_of
 
 RANGE_BYTES = 64 << 20
 CHUNK_BYTES = 4 << 20
@@ -177,7 +177,7 @@ class LinesSource(DataSource):
 
 
 def lines_reader(spark: SparkSession, **options):
-    spark.dataSource.register(LinesSource)
+    register_once(spark, LinesSource)
     reader = spark.read.format("ranged_lines")
     for key, value in options.items():
         if value is not None:

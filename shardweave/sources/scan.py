@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from shardweave.sources.config import check_entries, entry_key
 from shardweave.sources.layout import source_path
+from shardweave.sources.lines import LinesSource
 from shardweave.sources.ordered import numbered_source
+from shardweave.sources.storage import register_once
 
 # Columns that may hold the text.
 TEXT_COLUMNS = ("text", "content", "document")
@@ -43,6 +45,7 @@ def numbered_sources(spark: SparkSession, entries: list[dict], out: str = "doc_i
     Counting a source's files takes a few small jobs; those of several sources run side by side.
     """
     check_entries(entries)
+    register_once(spark, LinesSource)  # before the threads start
     with ThreadPoolExecutor(PLANNERS) as pool:
         parts = list(pool.map(lambda e: numbered_source(spark, e, out), entries))
     return concat(_alike([_tagged(part, e, i) for i, (part, e) in enumerate(zip(parts, entries))]))

@@ -4,13 +4,16 @@ import gzip
 import io
 import json
 import random
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource
 
 from shardweave.operators.tokenizers import tokenizer
 from shardweave.plans.prepare import merged_documents, prepare_corpus
-from shardweave.sources import lines, ordered, scan
+from shardweave.sources import lines, ordered, scan, storage
 from shardweave.sources.layout import source_path
 
 
@@ -163,3 +166,29 @@ def test_json_and_text_sources_equal_the_parquet_run(spark, tmp_path):
     assert run("json", "json", options={"rangeBytes": "900"}) == (wanted, shards)
     merged, _ = run("text", "text.txt", options={"rangeBytes": "333"})
     assert [(r.doc_idx, r.text) for r in merged] == [(r.doc_idx, r.text) for r in wanted]
+
+
+def test_a_data_source_is_registered_once_and_a_passing_failure_is_met(spark, monkeypatch):
+    class Source(DataSource):
+        @classmethod
+        def name(cls):
+            return "registered_once"
+
+    kind, calls = type(spark.dataSource), []
+    register = kind.register
+
+    def flaky(self, source):
+        calls.append(source)
+        if len(calls) == 1:
+            error = AnalysisException("Data source already exists")
+            monkeypatch.setattr(error, "getCondition", lambda: "DATA_SOURCE_ALREADY_EXISTS", raising=False)
+            raise error
+        register(self, source)
+
+    monkeypatch.setattr(kind, "register", flaky)
+    monkeypatch.setattr(storage.time, "sleep", lambda seconds: None)
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(lambda i: storage.register_once(spark, Source), range(32)))
+    assert len(calls) == 2
+    lines.lines_reader(spark), lines.lines_reader(spark)
+    assert len(calls) <= 3
