@@ -1,6 +1,7 @@
 """Licence scans, native: sparse TF-IDF cosine of notices to templates, then inheritance.
 
-Notices are the lines of a file that speak of licences or copyright, wherever they stand.
+Notices are the lines of a file that speak of licences or copyright, or that meet the threshold with
+a template, wherever they stand. Terms are weighed by the lines that speak of licences.
 A file mostly made of notices is a licence file of its directory. A file without a notice of
 its own inherits from its nearest ancestor directory, by equi-joins on directory paths.
 """
@@ -10,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shardweave.functions.arrays import bind
 from shardweave.llm.joins import bounded
 from shardweave.llm.rowkeys import row_key
 from shardweave.staging import stage
@@ -35,10 +37,28 @@ def _terms(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^a-z0-9]+"), lambda w: w != "")
 
 
+def _may_meet(text: Column, templates: list) -> Column:
+    """Whether a line can reach ``LEAST``: exact for a no, as no term weighs less than 1.
+
+    With ``(term, idf, most)`` of the templates' terms, ``most`` being a term's largest share in the cosine
+    before the line's norm: the dot product is at most the sum of ``most``, the squared norm at least
+    that of the squared weights, both over all words of the line.
+    """
+    words = [t.term for t in templates]
+    table = F.map_from_arrays(F.array(*map(F.lit, words)), F.array(
+        *[F.struct(F.lit(t.most).alias("most"), F.lit(t.idf ** 2 - 1).alias("more")) for t in templates]))
+    zero = F.struct(F.lit(0.0).alias("most"), F.lit(0.0).alias("more"))
+    return bind(_terms(text), lambda terms: bind(
+        F.filter(terms, lambda t: t.isin(words)), lambda hits: (F.size(hits) > 0) & bind(
+            F.aggregate(F.transform(hits, lambda t: table[t]), zero, lambda a, x: F.struct(
+                (a["most"] + x["most"]).alias("most"), (a["more"] + x["more"]).alias("more"))),
+            lambda s: s["most"] >= (LEAST - 1e-5) * F.sqrt(s["more"] + F.size(terms)))))
+
+
 def scan_licenses(files: DataFrame, path: Column, templates=TEMPLATES) -> DataFrame:
     """doc_id, path, own_license, own_score, is_license_file, license, inherited_from.
 
-    ``own_license`` is the template with the best cosine, from ``LEAST``, of any notice line;
+    ``own_license`` is the template with the best cosine, from ``LEAST``, of any line;
     ties go to the first name. A null path has no ancestors. Null and empty texts have no
     notices. Rows that share doc_id and text get the same result and are each returned.
     """
@@ -47,7 +67,7 @@ def scan_licenses(files: DataFrame, path: Column, templates=TEMPLATES) -> DataFr
     lines = F.coalesce(F.filter(F.split("text", "\n"), lambda s: s.rlike(SPEAKS)), F.array().cast("array<string>"))
     rows = rows.withColumn("notices", F.when(F.col("text").rlike(SPEAKS), lines).otherwise(
         F.array().cast("array<string>"))).withColumn(
-        "share", F.length(F.array_join("notices", "\n")) / F.greatest(F.length("text"), F.lit(1)))
+        "length", F.length(F.array_join("notices", "\n"))).withColumn("of", F.length("text"))
     seen = stage(rows.filter(F.size("notices") > 0).select("key", F.explode(F.array_distinct("notices")).alias("line"))
                  .distinct(), "notices")
     # Equal lines are weighed once, with the number of files that hold them.
@@ -58,23 +78,36 @@ def scan_licenses(files: DataFrame, path: Column, templates=TEMPLATES) -> DataFr
     known = spark.createDataFrame(list(templates), "name string, body string").select(
         "name", "body", F.explode(_terms(F.col("body"))).alias("term")).groupBy("name", "body", "term").agg(
         F.count(F.lit(1)).alias("tf"))
-    df = tf.groupBy("term").agg(F.sum("files").alias("df"))
+    df = stage(tf.groupBy("term").agg(F.sum("files").alias("df")), "terms")
     idf = F.log((F.lit(total) + 1) / (F.coalesce("df", F.lit(0)) + 1)) + 1
-    left = tf.join(df, "term").select("line", "term", (F.col("tf") * idf).alias("w"))
     right = stage(known.join(df, "term", "left").select(
-        "name", "body", "term", (F.col("tf") * idf).alias("v")), "templates")
+        "name", "body", "term", idf.alias("idf"), (F.col("tf") * idf).alias("v")), "templates")
     norm = right.groupBy("body").agg(F.sqrt(F.sum(F.col("v") ** 2)).alias("vn"))
+    # The other lines, those that cannot reach the threshold left out; a row per template term here.
+    shares = right.join(norm, "body").groupBy("term").agg(
+        F.first("idf").alias("idf"), F.max(F.col("idf") * F.col("v") / F.col("vn")).alias("most")).collect()
+    silent = stage(rows.select("key", F.posexplode(F.split("text", "\n")).alias("at", "line")).filter(
+        ~F.col("line").rlike(SPEAKS)).filter(_may_meet(F.col("line"), shares)).distinct()
+        .groupBy("key", "line").agg(F.count(F.lit(1)).alias("n")), "silent")
+    terms = weighed.select("line").unionByName(silent.select("line").distinct()).select(
+        "line", F.explode(_terms(F.col("line"))).alias("term"))
+    left = terms.groupBy("line", "term").agg(F.count(F.lit(1)).alias("tf")).join(bounded(df), "term", "left").select(
+        "line", "term", (F.col("tf") * idf).alias("w"))
     line_norm = left.groupBy("line").agg(F.sqrt(F.sum(F.col("w") ** 2)).alias("wn"))
-    dots = left.join(F.broadcast(right), "term").groupBy("line", "name", "body").agg(
+    dots = left.join(F.broadcast(right.drop("idf")), "term").groupBy("line", "name", "body").agg(
         F.sum(F.col("w") * F.col("v")).alias("dot"))
     cosine = dots.join(line_norm, "line").join(F.broadcast(norm), "body").select(
         "line", "name", F.round(F.col("dot") / (F.col("wn") * F.col("vn")), 6).alias("score"))
-    best = cosine.filter(F.col("score") >= LEAST).groupBy("line").agg(
-        F.min(F.struct((-F.col("score")).alias("s"), "name")).alias("b"))
-    own = stage(seen.join(best, "line").groupBy("key").agg(F.min("b").alias("b")).select(
-        "key", F.col("b.name").alias("own_license"), (-F.col("b.s")).alias("own_score")), "own")
-    judged = stage(rows.select("doc_id", "path", "key", "share").join(own, "key", "left").withColumn(
-        "is_license_file", F.col("own_license").isNotNull() & (F.col("share") >= FILE_SHARE)), "judged")
+    best = stage(cosine.filter(F.col("score") >= LEAST).groupBy("line").agg(
+        F.min(F.struct((-F.col("score")).alias("s"), "name")).alias("b")), "best")
+    held = seen.select("key", "line", F.lit(0).cast("long").alias("more")).unionByName(
+        silent.select("key", "line", (F.col("n") * (F.length("line") + 1)).alias("more")))
+    own = stage(held.join(best, "line").groupBy("key").agg(F.min("b").alias("b"), F.sum("more").alias("more")).select(
+        "key", F.col("b.name").alias("own_license"), (-F.col("b.s")).alias("own_score"), "more"), "own")
+    # Notices are taken as joined by line feeds.
+    length = F.col("length") + F.coalesce("more", F.lit(0)) - F.when((F.col("length") == 0) & (F.col("more") > 0), 1).otherwise(0)
+    judged = stage(rows.select("doc_id", "path", "key", "length", "of").join(own, "key", "left").withColumn(
+        "is_license_file", F.col("own_license").isNotNull() & (length / F.greatest("of", F.lit(1)) >= FILE_SHARE)), "judged")
     parent = F.regexp_replace("path", r"/?[^/]*$", "")
     per_dir = stage(judged.filter("is_license_file and path is not null").groupBy(parent.alias("dir")).agg(
         F.min(F.struct((-F.col("own_score")).alias("s"), F.col("own_license").alias("name"))).alias("b")).select(

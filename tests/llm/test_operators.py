@@ -192,6 +192,18 @@ def test_mixture_leaves_without_weight_supply_nothing(spark):
     assert spent == {"a": 20, "c": 380}
 
 
+def test_licenses_of_lines_without_licence_words(spark):
+    grant = "Permission is hereby granted, free of charge, to any person obtaining a copy"
+    rows = [(1, "grant of the permission, free of charge, to any person obtaining copies\n" + "prose\n" * 99, "a/x"),
+            (2, f"{grant}\n{grant}\nother words", "b/LICENSE"), (3, "plain words", "b/c/x"),
+            (4, "Released under the MIT License\n" + "prose\n" * 50, "c/x"), (5, "any person may copy this", "d/x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, path string")
+    got = by_id(scan_licenses(df, df.path))
+    assert {i: r.own_license for i, r in got.items()} == {1: "MIT", 2: "MIT", 3: None, 4: "MIT", 5: None}
+    assert {i: r.is_license_file for i, r in got.items()} == {1: False, 2: True, 3: False, 4: False, 5: False}
+    assert (got[2].own_score, got[3].license, got[3].inherited_from) == (1.0, "MIT", "b")
+
+
 def test_licenses_own_and_inherited(spark):
     rows = [(1, "p/LICENSE", "Released under the MIT License."), (2, "p/q/a", "some words"), (3, "z/a", "some words"),
             (4, "p/q/b", "words\n" * 9 + "Licensed under the Apache License, Version 2.0."), (5, None, None)]
