@@ -239,6 +239,17 @@ def test_suffix_tree_counts_and_gain(spark):
     assert sum(x.score - x.base_score for x in got.values()) > 0
 
 
+def test_quality_counts_all_trusted_text(spark, monkeypatch):
+    from shardweave.llm import quality as module
+
+    seen, fit = [], module.fit
+    monkeypatch.setattr(module, "fit", lambda trusted: seen.append(trusted.count()) or fit(trusted))
+    docs = spark.range(4200).selectExpr("id AS doc_id", "'en' AS lang", "concat('plain words ', id) AS text")
+    labels = spark.range(4200).selectExpr("id AS doc_id", "1 AS quality", "if(id < 100, 1, 0) AS toxic")
+    quality(docs, labels)
+    assert seen == [4100]
+
+
 def test_quality_rejects_junk_and_keeps_the_rest(spark):
     base = "/root/testdata/sf0.01"
     got = by_id(queries.QUERIES["op9_quality"](spark, base))
