@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shardweave.functions.arrays import runs
+
+#: Characters that a task looks up at a time.
+RUN_CHARS = 1 << 20
+
 
 def learn(texts: DataFrame, column: str = "text") -> DataFrame:
     """``(ch, id)``: distinct characters numbered in code-point order.
@@ -39,28 +45,33 @@ def decode(ids: Column, chars: list[str]) -> Column:
     return decoder(chars)(ids)
 
 
+def _lengths(counts: pa.Array) -> np.ndarray:
+    return counts.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def encoder(chars: list[str]):
     """Function behind ``encode``.
 
-    Whole Arrow batches are looked up at once: one code-point buffer per batch, one
-    binary search, no per-character objects.
+    Runs of texts are looked up at once in a table of code points: no per-character objects, and
+    besides the batch and its ids only one run is in memory.
     """
     codes = np.array([ord(c) for c in chars], dtype=np.uint32)
+    ids = np.full(int(codes.max()) + 2, -1, np.int32)  # the last cell stands for all higher ones
+    ids[codes] = np.arange(len(codes), dtype=np.int32)
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def lookup(texts: pa.Array) -> pa.Array:
-        values = texts.to_pylist()
-        lengths = [len(v) if v is not None else 0 for v in values]
-        points = np.frombuffer(
-            "".join(v for v in values if v is not None).encode("utf-32-le"), np.uint32)
-        ids = np.minimum(np.searchsorted(codes, points), len(codes) - 1)
-        missing = points[codes[ids] != points]
-        if len(missing):
-            raise ValueError(f"character {chr(missing[0])!r} is not in the vocabulary")
-        ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-        return pa.ListArray.from_arrays(
-            pa.array(ends), pa.array(ids.astype(np.int32)),
-            mask=pa.array([v is None for v in values]))
+        lengths = _lengths(pc.utf8_length(texts))
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        out = np.empty(ends[-1], np.int32)
+        for first, past in runs(lengths, RUN_CHARS):
+            joined = "".join(v for v in texts[first:past].to_pylist() if v is not None)
+            points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+            found = ids[np.minimum(points, len(ids) - 1)]
+            if len(found) and found.min() < 0:
+                raise ValueError(f"character {chr(points[found < 0][0])!r} is not in the vocabulary")
+            out[ends[first]:ends[past]] = found
+        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(out), mask=texts.is_null())
 
     return lookup
 
@@ -71,14 +82,17 @@ def decoder(chars: list[str]):
 
     @F.arrow_udf(T.StringType())
     def spell(lists: pa.Array) -> pa.Array:
-        flat = lists.flatten().to_numpy(zero_copy_only=False)
-        if len(flat) and (flat.min() < 0 or flat.max() >= len(codes)):
-            raise ValueError("id is not in the vocabulary")
-        text = codes[flat.astype(np.int64)].tobytes().decode("utf-32-le")
-        lengths = [v or 0 for v in lists.value_lengths().to_pylist()]
-        ends = np.cumsum(lengths)
+        lengths = _lengths(pc.list_value_length(lists))
         valid = lists.is_valid().to_pylist()
-        return pa.array([text[e - n:e] if ok else None
-                         for n, e, ok in zip(lengths, ends, valid)], pa.string())
+        parts = []
+        for first, past in runs(lengths, RUN_CHARS):
+            flat = lists[first:past].flatten().to_numpy(zero_copy_only=False)
+            if len(flat) and (flat.min() < 0 or flat.max() >= len(codes)):
+                raise ValueError("id is not in the vocabulary")
+            text = codes[flat].tobytes().decode("utf-32-le")
+            ends = np.cumsum(lengths[first:past]).tolist()
+            parts.append(pa.array([text[e - n:e] if ok else None for n, e, ok in zip(
+                lengths[first:past].tolist(), ends, valid[first:past])], pa.string()))
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
     return spell
