@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shardweave.functions.arrays import runs
 from shardweave.functions.bytelevel import (
     BOS, BYTE_TO_CHAR, EOS, UNK, from_byte_chars, words, words_with_specials)
 from shardweave.operators.bpe_merge import MergeTable
@@ -24,6 +25,8 @@ from shardweave.operators.bpe_train import Vocabulary, merge_symbols
 MAX_VOCAB = 65_536
 # Longer words are merged one by one, with a queue.
 LONG_WORD = 200
+#: Words that a task looks up at a time.
+RUN_WORDS = 1 << 20
 
 
 def check_width(vocab_size: int) -> int:
@@ -72,6 +75,11 @@ def word_lookup(vocab: Vocabulary):
                 np.bincount(owner[pool >= 0], minlength=len(raw)))
 
     def encode(lists: pa.Array) -> pa.Array:
+        per_list = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        return pa.concat_arrays([encode_run(lists[first:past]) for first, past in runs(per_list, RUN_WORDS)] or [
+            pa.array([], pa.list_(pa.int32()))])
+
+    def encode_run(lists: pa.Array) -> pa.Array:
         coded = lists.flatten().dictionary_encode()
         pool, sizes = encode_words(coded.dictionary.to_pylist())
         # Gather the ids of all words of the batch without touching them one by one.
@@ -83,7 +91,7 @@ def word_lookup(vocab: Vocabulary):
         per_list = [n or 0 for n in lists.value_lengths().to_pylist()]
         offsets = ends[np.concatenate([[0], np.cumsum(per_list)]).astype(np.int64)]
         return pa.ListArray.from_arrays(
-            pa.array(offsets.astype(np.int32)), pa.array(pool[take]),
+            pa.array(offsets.astype(np.int32)), pa.array(pool[take], pa.int32()),
             mask=lists.is_null())
 
     return encode
@@ -128,14 +136,28 @@ def text_decoder(vocab: Vocabulary, skip_specials: bool = True):
     """``decode`` as a function that SQL can register."""
     hidden = set(vocab.specials) if skip_specials else set()
     to_byte = {c: b for b, c in BYTE_TO_CHAR.items()}
-    spelled = [b"" if t in hidden else bytes(to_byte[c] for c in t) for t in vocab.tokens]
+    spelled = [b"" if t in hidden else bytes(to_byte[c] for c in t) for t in vocab.tokens] + [b""]
+    pool = np.frombuffer(b"".join(spelled), np.uint8)
+    sizes = np.array([len(s) for s in spelled], np.int64)
+    starts = np.cumsum(sizes) - sizes
+
+    def spell_run(lists: pa.Array) -> pa.Array:
+        # Ids outside the vocabulary spell nothing, as the last entry does.
+        ids = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        ids[(ids < 0) | (ids >= len(sizes))] = len(sizes) - 1
+        lengths = sizes[ids]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        raw = pool[np.arange(ends[-1]) + np.repeat(starts[ids] - ends[:-1], lengths)].tobytes()
+        per_list = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        at = ends[np.concatenate([[0], np.cumsum(per_list, dtype=np.int64)])].tolist()
+        return pa.array([raw[at[i]:at[i + 1]].decode(errors="replace") if ok else None
+                         for i, ok in enumerate(lists.is_valid().to_pylist())], pa.string())
 
     @F.arrow_udf(T.StringType())
     def spell(lists: pa.Array) -> pa.Array:
-        return pa.array([
-            None if ids is None else
-            b"".join(spelled[i] for i in ids if 0 <= i < len(spelled)).decode(errors="replace")
-            for ids in lists.to_pylist()], pa.string())
+        per_list = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        return pa.concat_arrays([spell_run(lists[first:past]) for first, past in runs(per_list, RUN_WORDS)] or [
+            pa.array([], pa.string())])
 
     return spell
 

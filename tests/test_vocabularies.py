@@ -4,13 +4,16 @@ import json
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, decoders, models, pre_tokenizers, processors, trainers
 
 from shardweave.functions import bytelevel
-from shardweave.operators import bpe_encode, bpe_merge, bpe_train
+from shardweave.operators import bpe_encode, bpe_merge, bpe_train, char_vocab
 from shardweave.operators.tokenizers import register_sql, tokenizer
+from shardweave.plans import catalog
+from shardweave.session import SETTINGS
 from shardweave.sources import artifacts
 
 
@@ -258,3 +261,34 @@ def test_word_blocks_hold_the_pair_counts(spark):
 def test_learning_from_nothing(spark):
     empty = spark.createDataFrame([], "word string, n long")
     assert bpe_train.learn(empty, 50).tokens == bytelevel.SPECIALS
+
+
+def test_characters_in_bounded_runs(monkeypatch):
+    monkeypatch.setattr(char_vocab, "RUN_CHARS", 5)
+    texts = pa.array(["x", "ab", None, "", "abcabcab", "c", "\U0001f600b", "ba"])[1:]
+    chars = ["a", "b", "c", "\U0001f600"]
+    ids = char_vocab.encoder(chars).func(texts)
+    assert ids.to_pylist() == [[0, 1], None, [], [0, 1, 2, 0, 1, 2, 0, 1], [2], [3, 1], [1, 0]]
+    assert char_vocab.decoder(chars).func(ids).to_pylist() == texts.to_pylist()
+    assert char_vocab.encoder(chars).func(texts[:0]).to_pylist() == []
+    for bad in ("az", "a\U0010ffff", "!"):
+        with pytest.raises(ValueError, match="not in the vocabulary"):
+            char_vocab.encoder(chars).func(pa.array(["ab", bad]))
+
+
+def test_words_in_bounded_runs(monkeypatch):
+    monkeypatch.setattr(bpe_encode, "RUN_WORDS", 3)
+    vocab = bpe_train.Vocabulary(["[UNK]", "a", "b", "ab"], [("a", "b")], ["[UNK]"])
+    lists = pa.array([["q"], ["ab", "a", "b", "ab"], None, [], ["ba"], ["ab"]])[1:]
+    ids = bpe_encode.word_lookup(vocab)(lists)
+    assert ids.to_pylist() == [[3, 1, 2, 3], None, [], [2, 1], [3]]
+    spelled = bpe_encode.text_decoder(vocab, skip_specials=True).func(pa.array([[3, 0, 1], None, [], [9, -1, 2]]))
+    assert spelled.to_pylist() == ["aba", None, "", "b"]
+
+
+def test_queries_set_the_batches_they_rely_on(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "10000")
+    catalog.QUERIES["char_encode"](spark, "/root/testdata/sf0.001")
+    assert spark.conf.get(key) == before == SETTINGS[key]
