@@ -200,10 +200,19 @@ def quota_filter(spark, sf_dir):
     return _kept(spark, sf_dir).select("source_id", "doc_idx", "doc_id")
 
 
+#: Documents of one task that writes files, about 125 MB of text.
+ROWS_PER_TASK = 50_000
+
+
+def _in_ranges(df, least, key):
+    """``df`` in ranges of ``key``, ``least`` of them or as many as its rows need."""
+    return df.repartitionByRange(max(least, -(-df.count() // ROWS_PER_TASK)), key)
+
+
 def _by_source(spark, sf_dir, files=6):
     """Documents as a folder of files for each source, doc_id rising from file to file."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return stage(docs.repartitionByRange(files, "doc_id").sortWithinPartitions("source", "doc_id"),
+    return stage(_in_ranges(docs, files, "doc_id").sortWithinPartitions("source", "doc_id"),
                  "by-source", ["source"]).staged_at
 
 
@@ -222,7 +231,7 @@ SELECT lang || '/' || split AS source_id, doc_idx, doc_id FROM (
 def scan_splits(spark, sf_dir):
     split = F.when(F.substring(F.sha2(F.col("doc_id").cast("string"), 256), 1, 1) < "4", "test").otherwise("train")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("lang").alias("name"), split.alias("split"))
-    root = stage(docs.repartitionByRange(4, "doc_id").sortWithinPartitions("name", "split", "doc_id"),
+    root = stage(_in_ranges(docs, 4, "doc_id").sortWithinPartitions("name", "split", "doc_id"),
                  "by-split", ["name", "split"]).staged_at
     names = [r.name for r in docs.select("name").distinct().limit(cfg.MAX_SOURCES).collect()]
     entries = [{"path": root, "name": n, "split": s, "id": f"{n}/{s}"} for n in sorted(names) for s in ("test", "train")]
@@ -236,15 +245,18 @@ SELECT source_id, src_pos, doc_idx, doc_id::VARCHAR AS id, text FROM kept
 UNION ALL SELECT 'benchmark', (SELECT count(*) FROM sources), doc_idx, item_id::VARCHAR, text FROM benches
 WHERE doc_idx < 25""")
 def prepare_merged(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "id")
-    root = stage(docs.select("id", "text", "source").repartitionByRange(6, "id").sortWithinPartitions("source", "id"),
-                 "by-source", ["source"]).staged_at
-    entries = [{**e, "path": f"{root}/source={e['path']}", "split": ""} for e in _quota_entries(spark, sf_dir)]
-    for entry in entries[::2]:  # every other source as lines of JSON, in ranges so short that files have several
-        path = new_path(spark, "json-source")
-        (spark.read.parquet(entry["path"]).select("id", F.col("text").alias("content"))
-         .repartitionByRange(3, "id").sortWithinPartitions("id").write.json(path))
-        entry.update(path=path, format="json", schema="id long, content string", options={"rangeBytes": "20000"})
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", "source")
+    entries = [{**e, "split": ""} for e in _quota_entries(spark, sf_dir)]
+    # Every other source as lines of JSON, in ranges so short that files have several.
+    as_json = F.col("source").isin([e["path"] for e in entries[::2]])
+    lined = docs.filter(as_json).withColumnRenamed("text", "content")
+    root, lines = new_path(spark, "by-source"), new_path(spark, "json-sources")
+    _in_ranges(docs.filter(~as_json), 6, "id").sortWithinPartitions("source", "id").write.partitionBy("source").parquet(root)
+    _in_ranges(lined, 3, "id").sortWithinPartitions("source", "id").write.partitionBy("source").json(lines)
+    for i, entry in enumerate(entries):
+        entry["path"] = f"{root if i % 2 else lines}/source={entry['path']}"
+        if i % 2 == 0:
+            entry.update(format="json", schema="id long, content string", options={"rangeBytes": "20000"})
     bench = new_path(spark, "bench")
     table(spark, sf_dir, "benchmark").withColumnRenamed("item_id", "id").repartitionByRange(3, "id").sortWithinPartitions(
         "id").write.json(bench)
