@@ -16,24 +16,34 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from shardweave.sources.storage import register_once, storage_of
+from shardweave.sources.storage import in_groups, register_once, storage_of
 
 RANGE_BYTES = 64 << 20
+# Short ranges share tasks beyond this many; no task is to read much more than a range of the usual size.
+LEAST_TASKS = 16
 CHUNK_BYTES = 4 << 20
 # Compressed files, by ending. They have no ranges and are read from their start.
 CODECS = {".gz": "gzip", ".bz2": "bz2", ".zst": "zstd"}
 
 SCHEMA = "file string, file_block long, file_row long, value string"
 FILES = "file string, bytes long, blocks long"
+COUNTS = "file string, file_block long, rows long"
 
 
 @dataclass
-class Range(InputPartition):
+class Range:
     file: str
     start: int
     end: int | None
 
 
+@dataclass
+class Ranges(InputPartition):
+    """The ranges of one task."""
+
+    ranges: list[Range]
+
+
 def list_files(path: str) -> list[tuple[str, int]]:
     """(file, bytes) under a folder, or of one file, or of a pattern's files, by name.
 
@@ -118,31 +128,47 @@ class LinesReader(DataSourceReader):
         self.blank = options.get("keepBlank", "true") == "true"
         self.after, self.upto = options.get("after"), options.get("upto")
 
-    def partitions(self) -> list[Range]:
-        return [part for file, size in list_files(self.path)
-                if (self.after is None or file > self.after) and (self.upto is None or file <= self.upto)
-                for part in ranges_of(file, size, self.range_bytes)] or [Range("", 0, 0)]
+    def partitions(self) -> list[Ranges]:
+        found = [(part, size if part.end is None else part.end - part.start) for file, size in list_files(self.path)
+                 if (self.after is None or file > self.after) and (self.upto is None or file <= self.upto)
+                 for part in ranges_of(file, size, self.range_bytes)]
+        parts, sizes = [p for p, _ in found], [n for _, n in found]
+        each = min(max(RANGE_BYTES, self.range_bytes), -(-sum(sizes) // LEAST_TASKS))
+        return [Ranges(group) for group in in_groups(parts, sizes, each)] or [Ranges([])]
+
+    def read(self, partition: Ranges) -> Iterator[pa.RecordBatch]:
+        for part in partition.ranges:
+            for lines, row in self._lines(part):
+                n = len(lines)
+                places = [pa.array([part.file] * n), pa.array(np.full(n, part.start)), pa.array(np.arange(row, row + n))]
+                yield pa.record_batch([*places, pa.array([line.decode("utf-8", "replace") for line in lines])],
+                                      names=["file", "file_block", "file_row", "value"])
 
-    def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
-        if not partition.file:
-            return
-        storage, path = storage_of(partition.file)
+    def _lines(self, part: Range) -> Iterator[tuple[list[bytes], int]]:
+        """Lines of a range, and the number of the first of them in it."""
+        storage, path = storage_of(part.file)
         codec = _codec(path)
         with storage.open_input_file(path) if codec is None else storage.open_input_stream(
                 path, compression=codec) as stream:
-            if partition.start:
-                stream.seek(partition.start - 1)
+            if part.start:
+                stream.seek(part.start - 1)
             row = 0
-            for lines in line_batches(stream, partition.start, partition.end):
+            for lines in line_batches(stream, part.start, part.end):
                 if not self.blank:
                     lines = [line for line in lines if line.strip()]
-                n = len(lines)
-                if n:
-                    yield pa.record_batch([
-                        pa.array([path] * n), pa.array(np.full(n, partition.start)), pa.array(np.arange(row, row + n)),
-                        pa.array([line.decode("utf-8", "replace") for line in lines])],
-                        names=["file", "file_block", "file_row", "value"])
-                    row += n
+                if lines:
+                    yield lines, row
+                    row += len(lines)
+
+
+class CountsReader(LinesReader):
+    """How many lines each range has; the lines stay where they are read."""
+
+    def read(self, partition: Ranges) -> Iterator[tuple]:
+        for part in partition.ranges:
+            n = sum(len(lines) for lines, _ in self._lines(part))
+            if n:
+                yield part.file, part.start, n
 
 
 class FilesReader(DataSourceReader):
@@ -162,7 +188,7 @@ class LinesSource(DataSource):
 
     ``file_block`` is the first byte of a line's range, ``file_row`` its number in there. Options:
     ``rangeBytes``; ``keepBlank`` (false skips blank lines); ``after`` and ``upto``, bounds of file names;
-    ``files`` (true lists ``(file, bytes, blocks)`` instead).
+    ``files`` (true lists ``(file, bytes, blocks)`` instead); ``counts`` (true gives ``(file, file_block, rows)``).
     """
 
     @classmethod
@@ -170,10 +196,14 @@ class LinesSource(DataSource):
         return "ranged_lines"
 
     def schema(self) -> str:
-        return FILES if self.options.get("files") == "true" else SCHEMA
+        return FILES if self._asks("files") else COUNTS if self._asks("counts") else SCHEMA
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
-        return FilesReader(self.options) if self.options.get("files") == "true" else LinesReader(self.options)
+        kind = FilesReader if self._asks("files") else CountsReader if self._asks("counts") else LinesReader
+        return kind(self.options)
+
+    def _asks(self, option: str) -> bool:
+        return self.options.get(option) == "true"
 
 
 def lines_reader(spark: SparkSession, **options):

@@ -99,7 +99,7 @@ class LinesScan(Scan):
         return lines.withColumn("row", F.from_json("value", self._schema, self._wanted)).select("row.*", *PIECE, "file_row")
 
     def counts(self, after: str | None, upto: str | None) -> DataFrame:
-        return self._lines(after=after, upto=upto).groupBy(*PIECE).agg(F.count(F.lit(1)).alias("rows"))
+        return self._lines(after=after, upto=upto, counts=True)
 
 
 class TextScan(LinesScan):

@@ -36,6 +36,18 @@ def register_once(spark: SparkSession, source: type[DataSource]) -> None:
 
 
 
+def in_groups(items: list, sizes: list[int], each: int) -> list[list]:
+    """Consecutive items in groups, each closed by the item that brings it to ``each``."""
+    groups, left = [], 0
+    for item, size in zip(items, sizes):
+        if left <= 0:
+            groups.append([])
+            left = each
+        groups[-1].append(item)
+        left -= size
+    return groups
+
+
 def storage_of(path: str):
     """Arrow's file system for a path or URI, and the path in it."""
     from pyarrow import fs

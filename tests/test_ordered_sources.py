@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource
 
 from shardweave.operators.tokenizers import tokenizer
+from shardweave.plans import document_queries
 from shardweave.plans.prepare import merged_documents, prepare_corpus
 from shardweave.sources import lines, ordered, scan, storage
 from shardweave.sources.layout import source_path
@@ -192,3 +193,24 @@ def test_a_data_source_is_registered_once_and_a_passing_failure_is_met(spark, mo
     assert len(calls) == 2
     lines.lines_reader(spark), lines.lines_reader(spark)
     assert len(calls) <= 3
+
+
+def test_short_ranges_share_tasks_and_are_counted_in_place(spark, tmp_path):
+    for name in "ab":
+        (tmp_path / name).write_text("".join(f"line {i}\n" for i in range(1000)))
+    options = {"path": str(tmp_path), "rangeBytes": "20"}
+    tasks = lines.LinesReader(options).partitions()
+    assert len(tasks) <= lines.LEAST_TASKS + 1 and sum(len(t.ranges) for t in tasks) > 500
+    rows = lines.lines_reader(spark, rangeBytes=20).load(str(tmp_path))
+    counts = lines.lines_reader(spark, rangeBytes=20, counts=True).load(str(tmp_path)).collect()
+    assert rows.count() == sum(r.rows for r in counts) == 2000
+    assert sorted(map(tuple, counts)) == sorted(map(tuple, rows.groupBy("file", "file_block").count().collect()))
+    got = ordered.numbered_source(spark, {"path": str(tmp_path), "split": "", "format": "text", "options": {"rangeBytes": "20"}})
+    assert [r.text for r in got.orderBy("doc_idx").collect()] == [f"line {i}" for i in range(1000)] * 2
+
+
+def test_written_files_grow_in_number_not_in_rows(spark, monkeypatch):
+    monkeypatch.setattr(document_queries, "ROWS_PER_TASK", 10)
+    docs = spark.range(200)
+    assert document_queries._in_ranges(docs, 4, "id").rdd.getNumPartitions() == 20
+    assert document_queries._in_ranges(docs.limit(20), 4, "id").rdd.getNumPartitions() == 4
