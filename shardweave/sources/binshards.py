@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
 
 from shardweave.operators.pack import BLOCK_TOKENS
-from shardweave.sources.storage import register_once, storage_of
+from shardweave.sources.storage import in_groups, register_once, storage_of
 from shardweave.staging import stage
 
 # Number formats of shard files by name.
@@ -36,6 +36,7 @@ SPLITS = ("train", "val")
 #: Tokens that one task reads of a shard, and those of one Arrow batch; multiples of a block.
 RANGE_TOKENS, BATCH_TOKENS = 16 << 20, 1 << 20
 MAX_TASKS = 100_000  # further ranges share tasks
+LEAST_TASKS = 64  # ranges of small shards share tasks beyond these
 PIECES = "split string, shard_idx int, block long, start long, tokens array<int>"
 _ATTEMPTS = "_attempts"
 
@@ -133,12 +134,19 @@ def read_shards(spark: SparkSession, files: DataFrame, dtype: str = "uint16",
     ranges = sized.filter("length > 0").withColumn("first", first).withColumn(
         "past", F.least(F.col("first") + size, F.col("length")))
     # Rows here are ranges of files, of a few bytes each: adaptive execution would take them all for one task.
-    tasks = sized.agg(F.sum(F.ceil(F.col("length") / size))).first()[0] or 1
-    return ranges.repartition(min(int(tasks), MAX_TASKS)).mapInArrow(read, PIECES)
+    # Small shards share tasks.
+    found = sized.agg(F.sum("length"), F.sum(F.ceil(F.col("length") / size))).first()
+    tasks = task_count(found[0] or 0, int(found[1] or 0), size)
+    return ranges.repartition(tasks).mapInArrow(read, PIECES)
+
+
+def task_count(tokens: int, ranges: int, size: int) -> int:
+    """Tasks that read ``ranges`` ranges: as many as the tokens fill, no fewer than ``LEAST_TASKS`` if there are ranges."""
+    return max(1, min(ranges, MAX_TASKS, max(LEAST_TASKS, -(-tokens // size))))
 
 
 @dataclass
-class ShardRange(InputPartition):
+class ShardRange:
     split: str
     shard_idx: int
     path: str
@@ -147,6 +155,13 @@ class ShardRange(InputPartition):
     past: int
 
 
+@dataclass
+class ShardRanges(InputPartition):
+    """The ranges of one task."""
+
+    ranges: list[ShardRange]
+
+
 def _manifest(path: str) -> dict:
     storage, name = storage_of(path)
     with storage.open_input_stream(name) as stream:
@@ -187,19 +202,22 @@ class PreparedReader(DataSourceReader):
             else:
                 yield one
 
-    def partitions(self) -> list[ShardRange]:
+    def partitions(self) -> list[ShardRanges]:
         ranges = []
         for split, index, path, length, dtype in catalog_of(self.path):
             row = {"split": split, "shard_idx": index}
             if all(row[name] in values for name, values in self.wanted.items()):
                 ranges += [ShardRange(split, index, path, dtype, at, min(at + self.range_tokens, length))
                            for at in range(0, length, self.range_tokens)]
-        return ranges or [ShardRange("", 0, "", "", 0, 0)]
-
-    def read(self, partition: ShardRange) -> Iterator[pa.RecordBatch]:
-        if partition.path:
-            for part in read_range(partition.path, partition.dtype, partition.first, partition.past, self.block_tokens):
-                yield _batch(partition.split, partition.shard_idx, *part)
+        tokens = sum(r.past - r.first for r in ranges)
+        each = -(-tokens // task_count(tokens, len(ranges), self.range_tokens))
+        return [ShardRanges(group) for group in in_groups(ranges, [r.past - r.first for r in ranges], each)] or [
+            ShardRanges([])]
+
+    def read(self, partition: ShardRanges) -> Iterator[pa.RecordBatch]:
+        for r in partition.ranges:
+            for part in read_range(r.path, r.dtype, r.first, r.past, self.block_tokens):
+                yield _batch(r.split, r.shard_idx, *part)
 
 
 class CatalogReader(DataSourceReader):

@@ -140,3 +140,24 @@ def test_manifests_keep_the_whole_config_and_list_what_is_there(spark, tmp_path,
             assert {k: listed[k] for k in entry} == entry and listed["source_id"] == "a"
             assert [(out / split / f).exists() for f in meta["files"]] == [True] * (meta["num_shards"] if bins else 0)
         assert len(names(out / "val")) == 1 + bins
+
+
+def test_small_shards_share_tasks(spark, tmp_path):
+    pieces = spark.range(300).selectExpr(
+        "'train' AS split", "cast(id AS int) AS shard_idx", "0L AS block", "0L AS start", "array(cast(id AS int), 7) AS tokens")
+    out = str(tmp_path)
+    binshards.write_shards_as_bins(pieces, out)
+    for split, total in (("train", 600), ("val", 0)):
+        (tmp_path / split / "meta.json").write_text(json.dumps(
+            {"files": [f"{split}_{i:03d}.bin" for i in range(300 if total else 1)], "total_tokens": total}))
+    (tmp_path / "meta.json").write_text(json.dumps({"dtype": "uint16"}))
+    assert len(binshards.PreparedReader({"path": out}).partitions()) <= binshards.LEAST_TASKS
+    wanted = sorted((i, [i, 7]) for i in range(300))
+    read = binshards.read_prepared(spark, out)
+    assert sorted((r.shard_idx, r.tokens) for r in read.collect()) == wanted
+    assert [r.tokens for r in read.filter("shard_idx = 123").collect()] == [[123, 7]]
+    files = spark.range(300).selectExpr("'train' AS split", "cast(id AS int) AS shard_idx",
+                                        f"format_string('{out}/train/train_%03d.bin', id) AS path")
+    read = binshards.read_shards(spark, files)
+    assert sorted((r.shard_idx, r.tokens) for r in read.collect()) == wanted
+    assert read.rdd.getNumPartitions() <= binshards.LEAST_TASKS
