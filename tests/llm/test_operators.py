@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from shardweave.llm import queries
 from shardweave.llm.decontaminate import contamination, drop_contaminated
@@ -204,6 +205,55 @@ def test_licenses_of_lines_without_licence_words(spark):
     assert (got[2].own_score, got[3].license, got[3].inherited_from) == (1.0, "MIT", "b")
 
 
+@pytest.mark.parametrize("common", [None, (1, 4)])
+def test_licenses_match_brute_force_and_carry_no_lines_per_word(spark, monkeypatch, common):
+    from shardweave.llm import licenses as module
+
+    rng = np.random.default_rng(3)
+    words = [w for _, body in module.TEMPLATES for w in re.findall("[a-z0-9]+", body.lower())]
+    prose = [f"w{i}" for i in range(40)]
+    lines = []
+    for i in range(400):  # words of several templates, parts of one template, and prose among them
+        body = re.findall("[a-z0-9]+", module.TEMPLATES[i % 10][1].lower())
+        own = rng.choice(words, 6) if i % 2 else body[:rng.integers(1, len(body) + 1)]
+        lines.append(" ".join([*own, *rng.choice(prose, rng.integers(0, 30))]))
+    speak = [x for x in lines if re.search(module.SPEAKS, x)]
+
+    def terms(x):
+        return collections.Counter(re.findall("[a-z0-9]+", x.lower()))
+
+    df = collections.Counter(t for x in speak for t in terms(x))
+
+    def vector(x):
+        v = {t: n * (math.log((len(speak) + 1) / (df[t] + 1)) + 1) for t, n in terms(x).items()}
+        norm = math.sqrt(sum(a * a for a in v.values()))
+        return {t: a / norm for t, a in v.items()}
+
+    def best(x):
+        v = vector(x)
+        s = [(-round(sum(a * vector(body).get(t, 0) for t, a in v.items()), 6), name) for name, body in module.TEMPLATES]
+        return min(s)[::-1] if -min(s)[0] >= module.LEAST else (None, 0)
+
+    made, plans, stage = {}, [], module.stage
+
+    def record(d, label):
+        plans.append(d._jdf.queryExecution().optimizedPlan().toString())
+        made[label] = stage(d, label)
+        return made[label]
+
+    monkeypatch.setattr(module, "stage", record)
+    if common:
+        monkeypatch.setattr(module, "COMMON", common)
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    got = by_id(scan_licenses(docs, F.col("doc_id").cast("string")))
+    want = [best(x) for x in lines]
+    assert [got[i].own_license for i in range(400)] == [name for name, _ in want]
+    assert [got[i].own_score or 0 for i in range(400)] == pytest.approx([-s for _, s in want], abs=2e-6)
+    assert not [p for p in plans if re.search(r"Aggregate \[line#\d+[^\]]*term#", p)]
+    silent = [w for x, w in zip(lines, want) if x not in speak]
+    assert 0 < sum(w[0] is not None for w in silent) <= made["silent"].count() < len(silent) / 2
+
+
 def test_licenses_own_and_inherited(spark):
     rows = [(1, "p/LICENSE", "Released under the MIT License."), (2, "p/q/a", "some words"), (3, "z/a", "some words"),
             (4, "p/q/b", "words\n" * 9 + "Licensed under the Apache License, Version 2.0."), (5, None, None)]
