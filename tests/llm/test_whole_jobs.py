@@ -4,12 +4,14 @@ import collections
 import math
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
 
 import corpus_pipeline
+from shardweave.llm import suffix_tree
 from shardweave.llm.suffix_tree import LEAST_COUNT, SMOOTH, score
 
 DIR = "/root/testdata/sf0.001"
@@ -60,6 +62,37 @@ def test_suffix_tree_keeps_every_frequent_sequence(spark, hot_share):
     assert np.allclose([got[i] for i in want], list(want.values()), rtol=1e-9)
 
 
+@pytest.mark.parametrize("hot_keys", [0, 500])
+def test_suffix_tree_broadcasts_few_keys_and_drops_what_is_read(spark, monkeypatch, hot_keys):
+    made, sizes, stage, index = {}, [], suffix_tree.stage, suffix_tree.indexed
+
+    def record(df, label):
+        out = stage(df, label)
+        made[out.staged_at] = label
+        return out
+
+    monkeypatch.setattr(suffix_tree, "stage", record)
+    monkeypatch.setattr(suffix_tree, "indexed", lambda table: sizes.append(len(table)) or index(table))
+    rows = [(r["doc_id"], r["text"]) for r in pq.read_table(f"{DIR}/documents.parquet").to_pylist()]
+    scored = score(spark.read.parquet(f"{DIR}/documents.parquet"), hot_keys=hot_keys)
+    assert hot_keys / 2 <= sizes[0] <= hot_keys
+    assert sorted(label for path, label in made.items() if Path(path).exists()) == ["scored", "values"]
+    got = {r.doc_id: r.score for r in scored.collect()}
+    want = tree_scores(rows)
+    assert np.allclose([got[i] for i in want], list(want.values()), rtol=1e-9)
+
+
+def test_suffix_tree_lookups(spark):
+    keys = np.random.default_rng(5).integers(-2**63, 2**63, 40_000)
+    held, others = np.sort(keys[:20_000].view(np.uint64)).view(np.int64), keys[20_000:]
+    for table in (held, held[:1], held[:0]):
+        index = suffix_tree.indexed(table)
+        assert (suffix_tree.places(index, table) == np.arange(len(table))).all()
+        assert (suffix_tree.places(index, others) == -1).all()
+    bits = suffix_tree.bit_map(spark.createDataFrame([(int(k),) for k in held], "key long"))
+    assert suffix_tree.marked(bits, held).all() and suffix_tree.marked(bits, others).mean() < 0.02
+
+
 def test_pipeline_keeps_one_row_of_each_group(spark):
     """Repeated rows, null ids and ids shared by different texts."""
     a, b, c = (" ".join(f"{x}{i * i % 97}" for i in range(60)) for x in "abc")
